@@ -18,14 +18,17 @@ def _number(x: str, bits: int = 32) -> str:
 
 
 _TOKENS = "regexp_split_to_array(text, '[^A-Za-z_0-9]')"
+_FOUR = " || ' ' || ".join(["token", *(f"lead(token, {i}) OVER w" for i in range(1, 5))])
 _GRAMS = (
-    "CASE WHEN len({t}) < 5 THEN [] ELSE list_transform(range(1, len({t}) - 3), "
-    "lambda i: array_to_string({t}[i:i+4], ' ')) END"
+    f"words AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS pos FROM "
+    f"(SELECT doc_id, {_TOKENS} AS t FROM documents)), "
+    f"slides AS (SELECT doc_id, pos, {_FOUR} AS gram FROM words "
+    "WINDOW w AS (PARTITION BY doc_id ORDER BY pos)), "
+    "grams AS (SELECT doc_id, pos, gram FROM slides WHERE gram IS NOT NULL)"
 )
 _SHINGLES = (
-    f"tokens AS (SELECT doc_id, {_TOKENS} AS t FROM documents), "
-    f"grams AS (SELECT doc_id, unnest(list_distinct({_GRAMS.format(t='t')})) AS gram FROM tokens), "
-    f"hashes AS (SELECT doc_id, {_number('gram')} AS h FROM grams)"
+    f"{_GRAMS}, shingles AS MATERIALIZED (SELECT DISTINCT doc_id, gram FROM grams), "
+    f"hashes AS MATERIALIZED (SELECT doc_id, {_number('gram')} AS h FROM shingles)"
 )
 _MINIMA = ", ".join(
     f"min(((h * {a}::HUGEINT + {b}::HUGEINT) % 18446744073709551616::HUGEINT "
@@ -34,7 +37,7 @@ _MINIMA = ", ".join(
 )
 _SIGNATURES = (
     f"{_SHINGLES}, found AS (SELECT doc_id, [{_MINIMA}] AS s FROM hashes GROUP BY doc_id), "
-    "signatures AS (SELECT doc_id, coalesce(s, list_transform(range(25), lambda i: "
+    "signatures AS MATERIALIZED (SELECT doc_id, coalesce(s, list_transform(range(25), lambda i: "
     f"{_NONE}::BIGINT)) AS s FROM documents LEFT JOIN found USING (doc_id))"
 )
 
@@ -57,7 +60,7 @@ def _edges_sql(bands: int, rows: int) -> str:
 
 def _clusters_sql(bands: int, rows: int) -> str:
     return (
-        f"{_edges_sql(bands, rows)}, links AS (SELECT src AS u, dst AS v FROM edges UNION "
+        f"{_edges_sql(bands, rows)}, links AS MATERIALIZED (SELECT src AS u, dst AS v FROM edges UNION "
         "SELECT dst, src FROM edges), reach AS (SELECT u AS node, u AS root FROM links UNION "
         "SELECT links.v, reach.root FROM reach JOIN links ON links.u = reach.node), "
         "clusters AS (SELECT node AS doc_id, min(root) AS cluster FROM reach GROUP BY node)"
@@ -152,16 +155,21 @@ def _jaccard(function):
 
 def _jaccard_sql(items: str) -> str:
     return (
-        f"WITH items AS (SELECT doc_id, {items} AS g FROM documents) "
-        "SELECT a.doc_id, round(len(list_intersect(a.g, b.g)) / greatest(1, "
+        f"{items}SELECT a.doc_id, round(len(list_intersect(a.g, b.g)) / greatest(1, "
         "len(list_distinct(list_concat(a.g, b.g)))), 9) AS similarity "
         "FROM items a JOIN items b ON b.doc_id = a.doc_id + 1"
     )
 
 
-_CHARACTER_GRAMS = (
-    "list_distinct(list_transform(range(1, greatest(length(text) - 6, 2)), "
-    "lambda i: array_to_string(regexp_extract_all(text, '(?s).')[i:i+7], ' ')))"
+_EIGHT = ", ".join(["token", *(f"lead(token, {i}) OVER w" for i in range(1, 8))])
+_CHARACTER_GRAMS_SQL = (
+    "WITH letters AS (SELECT doc_id, unnest(c) AS token, generate_subscripts(c, 1) AS pos FROM "
+    "(SELECT doc_id, regexp_extract_all(text, '(?s).') AS c FROM documents)), "
+    f"slides AS (SELECT doc_id, pos, lead(token, 7) OVER w AS eighth, concat_ws(' ', {_EIGHT}) AS g "
+    "FROM letters WINDOW w AS (PARTITION BY doc_id ORDER BY pos)), "
+    "grams AS (SELECT doc_id, list(DISTINCT g) AS g FROM slides WHERE eighth IS NOT NULL OR pos = 1 "
+    "GROUP BY doc_id), items AS MATERIALIZED (SELECT doc_id, coalesce(g, ['']) AS g FROM documents "
+    "LEFT JOIN grams USING (doc_id)) "
 )
 
 QUERIES = {
@@ -173,12 +181,8 @@ QUERIES = {
         "max(pos) FILTER (token <> '') AS last, sum(length(token))::BIGINT AS characters "
         "FROM rows_ GROUP BY doc_id"),
     "m02_ngrams": (
-        _ngrams,
-        f"WITH tokens AS (SELECT doc_id, {_TOKENS} AS t FROM documents), "
-        f"grams AS (SELECT doc_id, {_GRAMS.format(t='t')} AS g FROM tokens) "
-        "SELECT doc_id, (generate_subscripts(g, 1) - 1)::BIGINT AS pos, unnest(g) AS gram FROM grams "
-        "WHERE len(g) > 0"),
-    "m03_shingles": (_shingles, f"WITH {_SHINGLES} SELECT doc_id, gram FROM grams"),
+        _ngrams, f"WITH {_GRAMS} SELECT doc_id, pos::BIGINT AS pos, gram FROM grams"),
+    "m03_shingles": (_shingles, f"WITH {_GRAMS} SELECT DISTINCT doc_id, gram FROM grams"),
     "m04_sha1_integer": (
         _hashes,
         f"WITH words AS (SELECT DISTINCT unnest({_TOKENS}) AS token FROM documents) "
@@ -204,8 +208,9 @@ QUERIES = {
         _dropped,
         f"WITH RECURSIVE {_clusters_sql(4, 6)} SELECT doc_id, text, cluster FROM documents "
         "JOIN clusters USING (doc_id) WHERE cluster <> doc_id"),
-    "m14_jaccard_tokens": (_jaccard(sh.ascii_tokens), _jaccard_sql(f"list_distinct({_TOKENS})")),
-    "m14_jaccard_characters": (_jaccard(sh.characters), _jaccard_sql(_CHARACTER_GRAMS)),
+    "m14_jaccard_tokens": (_jaccard(sh.ascii_tokens), _jaccard_sql(
+            f"WITH items AS (SELECT doc_id, list_distinct({_TOKENS}) AS g FROM documents) ")),
+    "m14_jaccard_characters": (_jaccard(sh.characters), _jaccard_sql(_CHARACTER_GRAMS_SQL)),
     "m16_fuzzy_dedup_stricter": (
         _kept(0.8),
         f"WITH RECURSIVE {_clusters_sql(3, 8)} SELECT doc_id, text, doc_id AS cluster "
