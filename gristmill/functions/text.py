@@ -96,9 +96,18 @@ def replace_characters(text: Column | str, mapping: dict[str, str]) -> Column:
     return out
 
 
+def is_ascii(text: Column | str) -> Column:
+    """Whether every character takes one byte; far cheaper than a pattern."""
+    return F.octet_length(_col(text)) == F.length(_col(text))
+
+
 def unify_punctuation(text: Column | str) -> Column:
     """Map 34 typographic and East Asian punctuation marks to ASCII."""
-    return replace_characters(text, PUNCTUATION_MAP)
+    # Bound once, because the text may be a long expression.
+    return F.transform(
+        F.array(_col(text)),
+        lambda t: F.when(is_ascii(t), t).otherwise(replace_characters(t, PUNCTUATION_MAP)),
+    )[0]
 
 
 def delete_unicode_punctuation(text: Column | str) -> Column:
@@ -137,9 +146,8 @@ def _nfd(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFD", t), na_action="ignore")
 
 
-def _normal_form(source: Column, ready: Column, udf, needed: str) -> Column:
+def _normal_form(source: Column, ready: Column, udf, changes: Column) -> Column:
     # Only rows whose source has characters that the form may change go to Python.
-    changes = source.rlike(needed)
     return F.when(changes, udf(F.when(changes, ready))).otherwise(ready)
 
 
@@ -152,20 +160,29 @@ NOT_ALWAYS_NFC = (
 )
 
 
+def _may_change_nfc(source: Column) -> Column:
+    # Cheap tests first; the last one is a long class.
+    return ~is_ascii(source) & source.rlike(r"[^\x00-\x{2ff}]") & source.rlike(NOT_ALWAYS_NFC)
+
+
 def to_nfc(text: Column | str) -> Column:
     """Unicode normal form C."""
-    return _normal_form(_col(text), _col(text), _nfc, NOT_ALWAYS_NFC)
+    return _normal_form(_col(text), _col(text), _nfc, _may_change_nfc(_col(text)))
 
 
 def strip_accents(text: Column | str) -> Column:
     """Normal form D without combining marks; ASCII text stays in the JVM."""
-    plain = _normal_form(_col(text), _col(text), _nfd, r"[^\x00-\x7f]")
-    return F.regexp_replace(plain, r"\p{Mn}", "")
+    text = _col(text)
+    plain = _normal_form(text, text, _nfd, ~is_ascii(text))
+    return F.when(is_ascii(text), text).otherwise(F.regexp_replace(plain, r"\p{Mn}", ""))
 
 
 def fix_text(text: Column | str) -> Column:
     """Unify line ends, widths, quotes and ligatures, drop control characters, apply NFC."""
     source = _col(text)
+    ascii_only = F.regexp_replace(
+        F.regexp_replace(source, r"\r\n?", "\n"), r"[\x00-\x08\x0b\x0e-\x1f\x7f]", ""
+    )
     out = F.regexp_replace(source, r"\r\n|[\r\x85\x{2028}\x{2029}]", "\n")
     out = F.translate(
         out,
@@ -175,7 +192,10 @@ def fix_text(text: Column | str) -> Column:
     ligatures = "[" + "".join(LIGATURES) + "]"
     out = F.when(source.rlike(ligatures), replace_characters(out, LIGATURES)).otherwise(out)
     controls = r"[\x00-\x08\x0b\x0e-\x1f\x7f\x{206a}-\x{206f}\x{feff}\x{fff9}-\x{fffb}]"
-    return _normal_form(source, F.regexp_replace(out, controls, ""), _nfc, NOT_ALWAYS_NFC)
+    full = _normal_form(
+        source, F.regexp_replace(out, controls, ""), _nfc, _may_change_nfc(source)
+    )
+    return F.when(is_ascii(source), ascii_only).otherwise(full)
 
 
 def digits_to_zero(text: Column | str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions import patterns as pt
+from gristmill.functions.patterns import key_hits
 from gristmill.operators.plumbing import sample_rows
 
 # The reference order of tags is not defined; this one is fixed, because overlapping
@@ -58,7 +59,7 @@ def _key_hits(texts: pd.Series) -> pd.Series:
     def one(text: str | None) -> list[dict]:
         if text is None:
             return []
-        return [{"value": v, "start": s, "end": e} for v, s, e in pt.key_hits(text)]
+        return [{"value": v, "start": s, "end": e} for v, s, e in key_hits(text)]
 
     return texts.map(one)
 
