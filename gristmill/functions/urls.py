@@ -39,7 +39,11 @@ def _encode(part: Column) -> Column:
 def with_query_parameters(url: Column | str, renames: dict[str, str] | None = None) -> Column:
     """Keep and rename the listed query parameters, drop the others and blank values."""
     url = _col(url)
-    base = F.regexp_extract(url, r"(?s)^([^?#]*)", 1)
+    scheme = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*:", 0)
+    base = F.concat(
+        F.lower(scheme),
+        F.regexp_extract(url, r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?([^?#]*)", 1),
+    )
     query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
     fragment = F.regexp_extract(url, r"(?s)^[^#]*(#.+)", 1)
     kept = F.lit("")

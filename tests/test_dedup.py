@@ -100,7 +100,7 @@ def test_exact(spark):
 def test_url_keys(spark):
     rows = spark.createDataFrame([
         (0, "https://x.com/a?p=1"), (1, "https://x.com/news/foo/amp"), (2, "https://x.com/ample/foo"),
-        (3, "http://h/p?news-id=7&x=1#f"), (4, "http://h/p?id=a+b%2Fc&id=&id=%zz~*"),
+        (3, "HTTP://h/p?news-id=7&x=1#f"), (4, "http://h/p?id=a+b%2Fc&id=&id=%zz~*"),
     ], "i int, url string")
     got = rows.select(
         urls.without_query("url"), urls.without_amp("url"),
