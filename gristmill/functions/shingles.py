@@ -138,8 +138,13 @@ def minhash_signature(
 
 def jaccard(left: Column, right: Column) -> Column:
     """Shared over all distinct elements of two arrays; 0 when both are empty."""
-    shared = F.size(F.array_intersect(left, right)).cast("double")
-    return shared / F.greatest(F.lit(1), F.size(F.array_union(left, right)))
+
+    def share(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+        shared = F.size(F.array_intersect(a, b)).cast("double")
+        return shared / F.greatest(F.lit(1), F.size(F.array_union(a, b)))
+
+    return _with(F.struct(left.alias("a"), right.alias("b")), share)
 
 
 def jaccard_similarity(left: Column, right: Column, n: int = 8, min_length: int = 0) -> Column:

@@ -143,12 +143,14 @@ def _counts(spark, folder) -> DataFrame:
 
 
 def _jaccard(function):
+    # Texts are paired first; their token arrays are many times larger.
     def query(spark, folder) -> DataFrame:
-        docs = table(spark, folder, "documents").select("doc_id", function("text").alias("items"))
-        following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("items").alias("next"))
+        docs = table(spark, folder, "documents").select("doc_id", "text")
+        following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next"))
         size = 8 if function is sh.characters else 1
-        value = sh.jaccard_similarity(F.col("items"), F.col("next"), size)
-        return docs.join(following, "doc_id").select("doc_id", F.round(value, 9).alias("similarity"))
+        value = sh.jaccard_similarity(function("text"), function("next"), size)
+        pairs = docs.join(following, "doc_id")
+        return pairs.select("doc_id", F.round(value, 9).alias("similarity"))
 
     return query
 
