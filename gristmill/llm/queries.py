@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import mixing
+from gristmill.llm import jaccard, mixing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.ngram_jaccard(_table(spark, folder, "documents"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op2_ngram_jaccard": (op2_ngram_jaccard, jaccard.jaccard_sql()),
     "op5_mixing": (op5_mixing, mixing.mixing_sql()),
 }
