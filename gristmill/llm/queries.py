@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gristmill.llm import jaccard, mixing
+from gristmill.llm import jaccard, mixing, quality, token_file
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,11 +16,30 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.ngram_jaccard(_table(spark, folder, "documents"))
 
 
+def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    written = token_file.write_token_files(
+        _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_file.read_token_files(spark, written)
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    labels = _table(spark, folder, "labels").filter(~held_out)
+    model = quality.train_quality(docs, labels.select("doc_id", "quality"))
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
 QUERIES = {
     "op2_ngram_jaccard": (op2_ngram_jaccard, jaccard.jaccard_sql()),
+    "op3_token_file": (op3_token_file, None),
+    "op6_quality": (op6_quality, None),
     "op5_mixing": (op5_mixing, mixing.mixing_sql()),
 }
