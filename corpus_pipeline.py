@@ -1,12 +1,69 @@
-"""The training-data pipeline: stages over documents, each written and read again."""
+"""The training-data pipeline: stages over documents, each written and read again.
+
+Every stage takes ``(spark, docs, sf_dir)``, works on all rows of ``docs`` and returns a
+DataFrame; all but the last return the columns of ``documents``. A stage tells nothing to
+the next one but its rows.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gristmill.llm import decontaminate, jaccard, mixing, quality, token_file
+from gristmill.llm.blocks import join_ids
 from gristmill.staging import stage
 
-STAGES: list = []
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects (score below 0.5)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_quality(docs, quality.train_quality(docs, labels))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of every class of near copies.
+
+    Rows without an id are kept: they are in no class. Rows that share an id are told
+    apart by nothing, so all of them stay or go.
+    """
+    classes = jaccard.ngram_jaccard(docs)
+    later = stage(classes.filter("doc_id <> component_id").select("doc_id").distinct(), "later")
+    return join_ids(docs, later, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a benchmark item."""
+    items = decontaminate.load_items(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.drop_contaminated(docs, items)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats each document as often as the mix takes it, 0 to 2 times.
+
+    A document without words adds nothing to the mix and is dropped. Rows without an id
+    are dropped as well: their number of copies could not be told.
+    """
+    mixed = mixing.mix_sources(docs).filter("doc_id IS NOT NULL AND copies > 0")
+    copies = stage(mixed.groupBy("doc_id").agg(F.max("copies").alias("_copies")), "copies")
+    taken = join_ids(docs, copies.select(F.col("doc_id"), F.array_repeat(F.lit(0), F.col("_copies").cast("int")).alias("_times")), "doc_id")
+    return taken.withColumn("_times", F.explode("_times")).select(docs.columns)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token files and returns what they hold, document by document."""
+    folder = token_file.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_file.read_token_files(spark, folder)
+
+
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("mixing_sources", mixing_stage),
+    ("token_output", token_stage),
+]
 
 #: Trained models and similarity classes cannot be written as SQL.
 ORACLE_SQL = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import jaccard, mixing, quality, token_file
+from gristmill.llm import decontaminate, jaccard, mixing, quality, token_file
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,7 +37,13 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    items = decontaminate.load_items(_table(spark, folder, "benchmark"))
+    return decontaminate.find_items(_table(spark, folder, "documents"), items)
+
+
 QUERIES = {
+    "op8_decontaminate": (op8_decontaminate, None),
     "op2_ngram_jaccard": (op2_ngram_jaccard, jaccard.jaccard_sql()),
     "op3_token_file": (op3_token_file, None),
     "op6_quality": (op6_quality, None),
