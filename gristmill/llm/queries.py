@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import decontaminate, jaccard, mixing, quality, token_file
+from gristmill.llm import chat, decontaminate, jaccard, mixing, quality, token_file
+from gristmill.staging import stage
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: A conversation that says the template's own control strings.
+AWKWARD = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    extra = spark.sql(
+        f"SELECT -7L AS conv_id, turn, role, '{AWKWARD}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    turns = _table(spark, folder, "conversations").select(columns).unionByName(extra)
+    segments = stage(chat.format_chat(turns), "segments")
+    return chat.read_back(segments).drop("in_order")
+
+
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.ngram_jaccard(_table(spark, folder, "documents"))
 
@@ -43,6 +57,9 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": (op1_chat_format, chat.chat_sql(
+        "SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -7, t, r, x FROM (VALUES "
+        f"(0, 'user', '{AWKWARD}'), (1, 'assistant', '{AWKWARD}')) v(t, r, x)")),
     "op8_decontaminate": (op8_decontaminate, None),
     "op2_ngram_jaccard": (op2_ngram_jaccard, jaccard.jaccard_sql()),
     "op3_token_file": (op3_token_file, None),
