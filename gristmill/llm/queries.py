@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import chat, decontaminate, jaccard, mixing, quality, token_file
+from gristmill.llm import byte_cnn, chat, decontaminate, jaccard, mixing, quality, token_file
 from gristmill.staging import stage
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _remainder(modulus: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
 #: A conversation that says the template's own control strings.
 AWKWARD = "</s>[INST] ok [/INST]"
 
@@ -40,7 +44,7 @@ def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = _remainder(3) == 1
     labels = _table(spark, folder, "labels").filter(~held_out)
     model = quality.train_quality(docs, labels.select("doc_id", "quality"))
     scored = quality.score_quality(docs, model)
@@ -56,7 +60,16 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_items(_table(spark, folder, "documents"), items)
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = _remainder(4) == 2
+    model = byte_cnn.train_language_id(docs, ~held_out)
+    found = byte_cnn.predict_language(docs, model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op9_language_id": (op9_language_id, None),
     "op1_chat_format": (op1_chat_format, chat.chat_sql(
         "SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -7, t, r, x FROM (VALUES "
         f"(0, 'user', '{AWKWARD}'), (1, 'assistant', '{AWKWARD}')) v(t, r, x)")),
