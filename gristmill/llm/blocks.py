@@ -10,13 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that are turned into arrays at a time; one longer text is taken alone.
 BLOCK_BYTES = 4 << 20
-#: A table of ids and a few numbers is broadcast up to this number of rows (about 32 bytes each).
-MAX_BROADCAST_ROWS = 1_000_000
+#: A table that is joined by id is broadcast up to this size.
+MAX_BROADCAST_BYTES = 64 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -94,12 +94,16 @@ def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
         pa.array(np.asarray(offsets, np.int32)), pa.array(values.view(np.int64)))
 
 
-def join_ids(rows: DataFrame, ids: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def join_ids(
+    rows: DataFrame, ids: DataFrame, on: str, how: str = "inner", bytes_of: Column | None = None
+) -> DataFrame:
     """``rows`` joined to a written narrow table with unique ids.
 
-    The table is broadcast when it has at most ``MAX_BROADCAST_ROWS`` rows, so wide
-    rows stay where they are; beyond that both sides are shuffled by id.
+    The table is broadcast when its rows take at most ``MAX_BROADCAST_BYTES``, so wide
+    rows stay where they are; beyond that both sides are shuffled by id. ``bytes_of``
+    is the size of a row of it (by default 32 bytes, for ids and a few numbers).
     """
-    if ids.count() <= MAX_BROADCAST_ROWS:
+    size = F.lit(32) if bytes_of is None else bytes_of
+    if (ids.agg(F.sum(size)).first()[0] or 0) <= MAX_BROADCAST_BYTES:
         ids = F.broadcast(ids)
     return rows.join(ids, on, how)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import byte_cnn, chat, decontaminate, jaccard, mixing, quality, token_file
+from gristmill.llm import byte_cnn, chat, decontaminate, jaccard, mixing, quality, repeats, token_file
 from gristmill.staging import stage
 
 
@@ -51,6 +51,14 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    left = repeats.remove_repeats(_table(spark, folder, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return left.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
@@ -77,5 +85,6 @@ QUERIES = {
     "op2_ngram_jaccard": (op2_ngram_jaccard, jaccard.jaccard_sql()),
     "op3_token_file": (op3_token_file, None),
     "op6_quality": (op6_quality, None),
+    "op4_repeats": (op4_repeats, None),
     "op5_mixing": (op5_mixing, mixing.mixing_sql()),
 }
