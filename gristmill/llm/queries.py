@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import byte_cnn, chat, decontaminate, jaccard, mixing, quality, repeats, token_file
+from gristmill.llm import byte_cnn, chat, decontaminate, jaccard, lines, mixing, quality, repeats, token_file
 from gristmill.staging import stage
 
 
@@ -76,7 +76,16 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = lines.delete_repeated_lines(_table(spark, folder, "documents"))
+    gone = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["n_lines"])
+    return left.select(
+        "doc_id", "n_lines", gone.alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op10_line_dedup": (op10_line_dedup, lines.lines_sql()),
     "op9_language_id": (op9_language_id, None),
     "op1_chat_format": (op1_chat_format, chat.chat_sql(
         "SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -7, t, r, x FROM (VALUES "
