@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import byte_cnn, chat, decontaminate, jaccard, lines, mixing, quality, repeats, token_file
+from gristmill.llm import byte_cnn, chat, decontaminate, jaccard, lines, mixing, neighbours, quality, repeats, token_file
 from gristmill.staging import stage
 
 
@@ -63,6 +63,11 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    return neighbours.nearest(rows, rows.filter("vec_id % 20 = 0").select("vec_id"))
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     items = decontaminate.load_items(_table(spark, folder, "benchmark"))
     return decontaminate.find_items(_table(spark, folder, "documents"), items)
@@ -85,6 +90,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_neighbours": (op7_neighbours, None),
     "op10_line_dedup": (op10_line_dedup, lines.lines_sql()),
     "op9_language_id": (op9_language_id, None),
     "op1_chat_format": (op1_chat_format, chat.chat_sql(
