@@ -11,13 +11,17 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +35,10 @@ SHARD_IDS = 1 << 23
 SELECT_STEP = 128
 #: Different word pieces whose ids a task remembers.
 REMEMBERED = 400_000
+#: Fixed value: the pre-tokens of byte-level tokenizers.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Characters that libraries disagree on as white space.
+_CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0]")
 
 
 @dataclass
@@ -135,84 +143,102 @@ class Shard:
 
 
 class _Pieces(dict):
-    """Ids, as bytes, of a word with the blank before it; new words are encoded when asked for."""
+    """Ids, as bytes, of a word with the blank before it; new words are encoded when asked for.
 
-    def __init__(self, tokenizer, kind: np.dtype, letters: dict[int, str], before: dict):
+    A word with white space at an end has None: the blank beside it is not a cut.
+    """
+
+    def __init__(self, tokenizer, width: int, before: dict):
         super().__init__()
-        self.tokenizer, self.kind, self.letters, self.before = tokenizer, kind, letters, before
-        self.model = tokenizer.model
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.before.get(word)
-        if ids is None:
-            if word.isalpha():
-                # One pre-token: the model takes it in the byte alphabet, its blank first.
-                mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                ids = np.array([t.id for t in self.model.tokenize("\u0120" + mapped)], self.kind).tobytes()
-            elif word[-1] in ".," and word[:-1].isalpha():
-                ids = self[word[:-1]] + self.tail(word[-1])
-            else:
-                ids = self.whole(" " + word)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, before
+        self.width, self.code = width, "H" if width == 2 else "I"
+        self.cut = regex.compile(PRE_TOKENS).findall
+
+    def __missing__(self, word: str) -> bytes | None:
+        if word in self.before:
+            ids = self.before[word]
+        elif not word or word[0].isspace() or word[-1].isspace():
+            ids = None
+        elif word.isalpha():
+            ids = self.token(" " + word)
+        elif max(word) < "\u0250" and not _CONTROL.search(word):
+            first, *rest = self.cut(" " + word)
+            ids = (self[first[1:]] if first[1:].isalpha() else self.token(first)) + b"".join(map(self.inner, rest))
+        else:
+            ids = self.whole(" " + word)
         self[word] = ids
         return ids
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def tail(self, mark: str) -> bytes:
-        # Key with a leading blank: words after a blank never begin with one.
-        key = " " + mark
-        if key not in self:
-            self[key] = self.whole(mark)
+    def token(self, text: str) -> bytes:
+        """One pre-token, which the model takes in its byte alphabet."""
+        mapped = "\u0120" + text[1:] if text[0] == " " and text[1:].isascii() and text[1:].isalpha() else (
+            text.encode().decode("latin-1").translate(self.letters))
+        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def inner(self, text: str) -> bytes:
+        # Words after a blank never begin with one, so these keys are free.
+        key = " " + text
+        if not dict.__contains__(self, key):
+            self[key] = self.before.get(key) or self.token(text)
         return self[key]
 
+    def whole(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
 
 class WordIds:
     """Ids of whole texts through a memory of words.
 
     The byte-level pre-tokenizer always begins a piece at a single blank between two
-    characters that are not white space, and between a letter and a full stop or comma
-    that ends such a stretch. Texts are cut there and each different stretch is encoded
-    once, with the same result as encoding the text whole. ``REMEMBERED`` bounds the
-    memory; what was used before it filled up stays at hand for one more round.
+    characters that are not white space. Texts are cut there and each different stretch is
+    encoded once, with the same result as encoding the text whole. ``REMEMBERED`` bounds
+    the memory; what was used before it filled up stays at hand for one more round.
     """
 
     _gap = re.compile(r"(?<=\S) (?=\S)")
-    _space = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
-        map(chr, range(0x2000, 0x200B)))
-    # The blank itself first, then the ASCII characters (9 before or after a blank), then the others.
-    _wide = ["  ", *(x for c in _space for x in (" " + c, c + " "))]
 
     def __init__(self, tokenizer, width: int):
-        self.kind = np.dtype(f"<u{width}")
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in shown]
-        letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-        self.known = _Pieces(tokenizer, self.kind, letters, {})
-
-    def _words(self, text: str) -> list[str]:
-        if text[0] == " " or text[-1] == " ":
-            return self._gap.split(text)
-        wide = self._wide[:25] if text.isascii() else self._wide
-        if any(s in text for s in wide):
-            return self._gap.split(text)
-        return text.split(" ")
+        self.known = _Pieces(tokenizer, width, {})
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             old = self.known
-            self.known = _Pieces(old.tokenizer, old.kind, old.letters, dict(old))
-        get, out = self.known.__getitem__, []
+            self.known = _Pieces(old.tokenizer, old.width, dict(old))
+        known, out = self.known, []
+        get = known.__getitem__
         for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            words = self._words(text)
-            words[0] = self.known.whole(words[0])
-            out.append(b"".join([words[0], *map(get, words[1:])]))
+            words = text.split(" ")
+            first = words.pop(0)
+            try:
+                if first[-1:].isspace() or not first:
+                    raise TypeError
+                out.append(known.whole(first) + b"".join(map(get, words)))
+            except TypeError:  # a blank beside other white space: cut at the safe ones only
+                first, *words = self._gap.split(text)
+                parts = [known.whole(first)]
+                for word in words:
+                    ids = get(word)
+                    parts.append(known.whole(" " + word) if ids is None else ids)
+                out.append(b"".join(parts))
         return out
 
 
+def _memory(tokenizer_json: str, width: int) -> WordIds:
+    """The memory of this worker process, which its later tasks go on with."""
+    from tokenizers import Tokenizer
+
+    held = sys.modules.setdefault("gristmill_worker_memory", ModuleType("gristmill_worker_memory"))
+    key = f"{width}-{hash(tokenizer_json)}"
+    if key not in vars(held):
+        tokenizer = Tokenizer.from_str(tokenizer_json)
+        tokenizer.encode_special_tokens = True
+        setattr(held, key, WordIds(tokenizer, width))
+    return getattr(held, key)
+
+
 class _Write:
     """mapInArrow over sorted (id, text): writes shards, returns their manifest rows."""
 
@@ -235,12 +261,8 @@ class _Write:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(self.tokenizer)
-        tokenizer.encode_special_tokens = True
-        words = WordIds(tokenizer, self.width)
-        end = np.array([self.end_id], words.kind).tobytes()
+        words = _memory(self.tokenizer, self.width)
+        end = self.end_id.to_bytes(self.width, "little")
         rows, held, number, place = [], 0, 0, TaskContext.get().partitionId()
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
