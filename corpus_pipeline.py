@@ -47,8 +47,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     mixed = mixing.mix_sources(docs).filter("doc_id IS NOT NULL AND copies > 0")
     copies = stage(mixed.groupBy("doc_id").agg(F.max("copies").alias("_copies")), "copies")
-    taken = join_ids(docs, copies.select(F.col("doc_id"), F.array_repeat(F.lit(0), F.col("_copies").cast("int")).alias("_times")), "doc_id")
-    return taken.withColumn("_times", F.explode("_times")).select(docs.columns)
+    times = copies.select("doc_id", F.array_repeat(F.lit(0), F.col("_copies").cast("int")).alias("_times"))
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("_row"))
+    taken = join_ids(rows, times, "doc_id").select("_row", F.explode("_times"))
+    return taken.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

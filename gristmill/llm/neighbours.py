@@ -25,15 +25,15 @@ from gristmill.operators.skew import join_groups
 from gristmill.staging import stage
 
 #: Neighbours of a node in the graph; at most so many of the nodes that point to it take part.
-NEIGHBOURS, REVERSE = 24, 16
-#: Best nodes that a member takes from one comparison.
-KEPT = 10
+NEIGHBOURS, REVERSE = 32, 12
+#: Best nodes that a member takes from one comparison, in a leaf and in a round.
+LEAF_KEPT, KEPT = 20, 10
 #: Trees, vectors they are fitted on, and nodes in a leaf at most.
-TREES, TREE_SAMPLE, LEAF = 4, 20_000, 400
+TREES, TREE_SAMPLE, LEAF = 10, 20_000, 1000
 #: Rounds of NN-descent at most; it ends when fewer than this share of neighbours change.
-ROUNDS, SETTLED = 4, 0.02
+ROUNDS, SETTLED = 3, 0.05
 #: Nodes in the pool of a query, and how many are expanded in a step.
-POOL, EXPANDED, STEPS = 80, 16, 24
+POOL, EXPANDED, STEPS = 48, 16, 24
 
 
 class _Pack:
@@ -118,18 +118,30 @@ class _Compare:
     def __init__(self, kept: int, kind: str):
         self.kept, self.kind = kept, kind
 
-    def _compare(self, nodes: list[int], vectors: list[bytes]) -> Iterator[tuple[int, list, list]]:
-        for k in range(0, len(nodes), LEAF):
-            ids, x = np.array(nodes[k:k + LEAF]), _matrix(vectors[k:k + LEAF], self.kind)
-            scores = (x @ x.T).astype(np.float64)
-            np.fill_diagonal(scores, -np.inf)
-            top = np.argsort(-scores, axis=1, kind="stable")[:, :min(self.kept, len(ids) - 1)]
-            for i, mine in enumerate(top):
-                yield int(ids[i]), ids[mine].tolist(), scores[i, mine].tolist()
-
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for rows in _groups(batches):
-            yield _lists(self._compare([r[1] for r in rows], [r[2] for r in rows]))
+            for k in range(0, len(rows), LEAF):
+                part = rows[k:k + LEAF]
+                ids, x = np.array([r[1] for r in part]), _matrix([r[2] for r in part], self.kind)
+                scores = x @ x.T
+                np.fill_diagonal(scores, -np.inf)
+                kept = min(self.kept, len(ids) - 1)
+                top = np.argpartition(-scores, kept - 1, axis=1)[:, :kept] if kept else np.zeros((len(ids), 0), int)
+                held.append((ids, ids[top], np.take_along_axis(scores, top, axis=1)))
+                size += top.size
+            if size > 200_000:
+                yield _tables(held)
+                held, size = [], 0
+        if held:
+            yield _tables(held)
+
+
+def _tables(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    ends = np.cumsum([0, *np.concatenate([np.full(len(n), t.shape[1]) for n, t, _ in held])]).astype(np.int32)
+    join = lambda k, kind: pa.array(np.concatenate([h[k].ravel() for h in held]).astype(kind))
+    lists_ = [pa.ListArray.from_arrays(pa.array(ends), join(1, np.int64)), pa.ListArray.from_arrays(pa.array(ends), join(2, np.float64))]
+    return pa.RecordBatch.from_arrays([join(0, np.int64), *lists_], ["_node", "_ids", "_scores"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], most: int = 64 * LEAF) -> Iterator[list[tuple]]:
@@ -196,10 +208,10 @@ def build_graph(nodes: DataFrame, kind: str) -> DataFrame:
     trees = _Trees(x, min(depth, max(0, int(np.log2(max(1, len(x)) / 20)))), dims)
     leaves = nodes.select("_node", "_vec").mapInArrow(_Leaves(trees, kind), "_group long, _node long, _vec binary")
     order = [F.col("_group"), F.xxhash64("_node")]
-    part = F.pmod(F.xxhash64("_node"), F.lit(max(1, n // (1 << max(0, trees.depth)) // (16 * LEAF))))
+    part = F.pmod(F.xxhash64("_node"), F.lit(max(1, n // (1 << max(0, trees.depth)) // (4 * LEAF))))
     dealt = leaves.repartition("_group", part).sortWithinPartitions(*order)
-    graph = stage(_merged(dealt.mapInArrow(_Compare(NEIGHBOURS, kind), _LISTS)), "graph")
-    if n <= NEIGHBOURS + 1:
+    graph = stage(_merged(dealt.mapInArrow(_Compare(LEAF_KEPT, kind), _LISTS)), "graph")
+    if n <= LEAF_KEPT + 1:
         return graph
     for turn in range(ROUNDS):
         edges = graph.select("_node", F.explode("_ids").alias("_to"))
