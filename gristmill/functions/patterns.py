@@ -1,10 +1,8 @@
-"""Patterns for personal data, and a bounded-time matcher for the key pattern."""
+"""Patterns for personal data, and a linear-time matcher for the key pattern."""
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
-
 import regex
 
 # ---- fixed values --------------------------------------------------------
@@ -61,6 +59,16 @@ DATES = [
 # not recurse once per digit.
 ID_BODY = r"([A-Za-z]*(?:[\p{Pd}]*\p{Nd}){6}(?:[\p{Pd}\p{Nd}]*\p{Nd})?)"
 
+# The same addresses as EMAIL in linear time. An address that fails at the start of a run of
+# name characters fails at every later start in it, so only the start of the run is tried
+# and, where the address before ends inside a run, the first start after it. The match may
+# then begin before its first group.
+_NAME_END = r"\x08\s@?!;,:)('\"<"
+EMAIL_LINEAR = (
+    rf"(?:(?<=^|[{_NAME_END}])|\G(?:(?<=[.\p{{Han}}])|(?>[^{_NAME_END}.\p{{Han}}]*+[.\p{{Han}}])))"
+    + EMAIL[EMAIL.index("([^"):].replace("]+@", "]++@", 1)
+)
+
 
 def for_jvm(pattern: str, multiline: bool = True) -> str:
     """The pattern in Java syntax: line-feed line ends and Unicode classes."""
@@ -69,7 +77,6 @@ def for_jvm(pattern: str, multiline: bool = True) -> str:
 
 KEY = regex.compile(OPENING + KEY_BODY + CLOSING_KEY, flags=regex.MULTILINE)
 _BOUNDARY = regex.compile(r"[\x08\s\p{Han}@?,!;:'\")(.]")
-Hit = tuple[str, int, int]
 
 
 def _class_of(char: str) -> str:
@@ -86,92 +93,173 @@ def _class_of(char: str) -> str:
     return char if char in "/+=:_ " else ""
 
 
-# The two repeated groups of the key body: (alternatives of class runs, repetitions).
-_KEY_GROUPS = (
-    (((("Ul", 1, None), ("dp/+=:_", 1, None)), (("dp/+=:", 1, None), ("Ul", 1, None))), 4),
-    (
-        (
-            (("d", 3, None), ("p ", 0, 1)),
-            (("U", 1, None), ("d", 1, None), ("U", 0, None), ("p ", 0, 1)),
-            (("d", 1, None), ("U", 1, None), ("d", 0, None), ("p ", 0, 1)),
-        ),
-        3,
-    ),
-)
+_SEGMENT = regex.compile(r"[A-Za-z\p{Nd}\p{Pd}/+=:_ ]+")
+_COUNTED = regex.compile(r"[\p{Nd}\p{Pd}/+=:_]")
+_LETTERS, _MARKS, _FIRST_MARKS = frozenset("Ul"), frozenset("dp/+=:_"), frozenset("dp/+=:")
 
 
-def _run_ends(kinds: list[str], at: int, runs: tuple) -> Iterator[int]:
-    # Ends of a sequence of greedy class runs, longest first.
-    if not runs:
-        yield at
-        return
-    allowed, least, most = runs[0]
-    stop = at
-    while stop < len(kinds) and kinds[stop] and kinds[stop] in allowed and (
-        most is None or stop - at < most
-    ):
-        stop += 1
-    for cut in range(stop, at + least - 1, -1):
-        yield from _run_ends(kinds, cut, runs[1:])
+def _closing(text: str, at: int) -> int:
+    """End of the closing boundary at ``at``, or -1."""
+    if at == len(text) or text[at] == "\n":
+        return at
+    return at + 1 if _BOUNDARY.match(text[at]) else -1
 
 
-def key_hits_bounded(text: str) -> list[tuple[str, int, int]]:
-    """The hits of ``KEY`` by backtracking that never enters a failed state twice.
+class _Segment:
+    """Where a key can start inside one run of key characters, and where it ends.
 
-    Whether a repeated group can be completed depends only on the position and on
-    the repetitions still due, so failed pairs are remembered for the whole text.
+    Both repeated groups of the key body are automata whose states are a phase and the
+    number of repetitions so far. One pass from the right notes, for each phase and
+    place, the repetition counts (as bits) from which the body can still be finished. A
+    walk from the left then takes the first permitted choice that can be finished, which
+    is what backtracking would end up with. Time is linear in the length of the run.
     """
-    kinds = [_class_of(c) for c in text]
-    size = len(text)
-    failed: tuple[set, set] = (set(), set())
-
-    def closing(at: int) -> int:
-        # End of the closing boundary, or -1.
-        if at == size or text[at] == "\n":
-            return at
-        return at + 1 if _BOUNDARY.match(text[at]) else -1
-
-    def body(start: int, which: int) -> tuple[int, int] | None:
-        alternatives, due = _KEY_GROUPS[which]
-
-        def ends(at: int) -> Iterator[int]:
-            for runs in alternatives:
-                yield from _run_ends(kinds, at, runs)
-
-        stack = [(start, 0, ends(start))]
-        while stack:
-            at, count, pending = stack[-1]
-            following = next(
-                (e for e in pending if (min(count + 1, due), e) not in failed[which]), None
+
+    def __init__(self, text: str, start: int, end: int):
+        self.text, self.start = text, start
+        self.kinds = [_class_of(c) for c in text[start:end]]
+        self.ends = [_closing(text, i) >= 0 for i in range(start, end + 1)]
+        self.mixed = self._mixed() if self._worth(_MARKS, 4) else None
+        self.digits = self._digits() if self._worth(frozenset("d"), 3) else None
+
+    def _worth(self, kinds: frozenset, least: int) -> bool:
+        return sum(k in kinds for k in self.kinds) >= least
+
+    # Letters then marks, or marks then letters, four times or more.
+
+    def _mixed(self) -> list[tuple[int, ...]]:
+        n = len(self.kinds)
+        table = [(0,) * 5] * (n + 1)
+        ahead = (0,) * 5
+        for i in range(n, -1, -1):
+            kind = self.kinds[i] if i < n else ""
+            letter, mark, first = kind in _LETTERS, kind in _MARKS, kind in _FIRST_MARKS
+            _, p1, p2, q1, q2 = ahead
+            again = (p1 if letter else 0) | (q1 if first else 0) | (16 if self.ends[i] else 0)
+            more = (again >> 1) | (again & 16)
+            ahead = (
+                again,
+                (p1 if letter else 0) | (p2 if mark else 0),
+                (p2 if mark else 0) | more,
+                (q1 if first else 0) | (q2 if letter else 0),
+                (q2 if letter else 0) | more,
             )
-            if following is not None:
-                stack.append((following, count + 1, ends(following)))
+            table[i] = ahead
+        return table
+
+    def _walk_mixed(self, i: int) -> int:
+        count, phase = 0, 0
+        while True:
+            kind = self.kinds[i] if i < len(self.kinds) else ""
+            ahead = self.mixed[i + 1] if kind else (0,) * 5
+            able = lambda p: kind and ahead[p] >> count & 1  # noqa: B023, E731
+            if phase == 0:
+                if kind in _LETTERS and able(1):
+                    i, phase = i + 1, 1
+                elif kind in _FIRST_MARKS and able(3):
+                    i, phase = i + 1, 3
+                else:
+                    return i
+            elif phase in (1, 4) and kind in _LETTERS and able(phase):
+                i += 1
+            elif phase == 2 and kind in _MARKS and able(2):
+                i += 1
+            elif phase == 3 and kind in _FIRST_MARKS and able(3):
+                i += 1
+            elif phase == 1:
+                i, phase = i + 1, 2
+            elif phase == 3:
+                i, phase = i + 1, 4
+            else:
+                count, phase = min(count + 1, 4), 0
+
+    # Digits, or capitals and digits, three times or more, a blank or dash after each.
+    # Phases: 0 start; 1-3 digits; 4 capitals, 5 digits, 6 capitals; 7 digits, 8 capitals,
+    # 9 digits; 10 the blank or dash.
+
+    def _digits(self) -> list[tuple[int, ...]]:
+        n = len(self.kinds)
+        table = [(0,) * 11] * (n + 1)
+        ahead = (0,) * 11
+        for i in range(n, -1, -1):
+            kind = self.kinds[i] if i < n else ""
+            d, u = kind == "d", kind == "U"
+            again = ((ahead[1] | ahead[7]) if d else 0) | (ahead[4] if u else 0) | (8 if self.ends[i] else 0)
+            more = (again >> 1) | (again & 8)
+            after = (ahead[0] >> 1) | (ahead[0] & 8)
+            gap = (after if kind in ("p", " ") else 0) | more
+            six = (ahead[6] if u else 0) | gap
+            nine = (ahead[9] if d else 0) | gap
+            ahead = (
+                again, ahead[2] if d else 0, ahead[3] if d else 0, (ahead[3] if d else 0) | gap,
+                (ahead[4] if u else 0) | (ahead[5] if d else 0), (ahead[5] if d else 0) | six, six,
+                (ahead[7] if d else 0) | (ahead[8] if u else 0), (ahead[8] if u else 0) | nine, nine, gap,
+            )
+            table[i] = ahead
+        return table
+
+    def _walk_digits(self, i: int) -> int:
+        count, phase = 0, 0
+        steps = {  # phase: (kind, phase after it) in order of choice
+            0: (("d", 1), ("U", 4), ("d", 7)), 1: (("d", 2),), 2: (("d", 3),), 3: (("d", 3),), 4: (("U", 4), ("d", 5)),
+            5: (("d", 5), ("U", 6)), 6: (("U", 6),), 7: (("d", 7), ("U", 8)), 8: (("U", 8), ("d", 9)), 9: (("d", 9),),
+        }
+        while True:
+            kind = self.kinds[i] if i < len(self.kinds) else ""
+            ahead = self.digits[i + 1] if kind else (0,) * 11
+            if phase == 10:
+                following = min(count + 1, 3)
+                if kind in ("p", " ") and ahead[0] >> following & 1:
+                    i += 1
+                count, phase = following, 0
+                continue
+            step = next((p for k, p in steps[phase] if k == kind and ahead[p] >> count & 1), None)
+            if step is not None:
+                i, phase = i + 1, step
+            elif phase == 0:
+                return i
+            else:
+                phase = 10
+
+    def end(self, at: int) -> int:
+        """End of the key body that starts at ``at``, or -1."""
+        i = at - self.start
+        if self.mixed and self.mixed[i][0] & 1:
+            return self.start + self._walk_mixed(i)
+        if self.digits and self.digits[i][0] & 1:
+            return self.start + self._walk_digits(i)
+        return -1
+
+
+def key_hits(text: str) -> list[tuple[str, int, int]]:
+    """``(value, start, end)`` of each key, as ``KEY`` finds them; spans include the boundaries.
+
+    A key lies within a run of key characters that has three digits or marks at least;
+    only such runs are looked at, each in time linear in its length.
+    """
+    hits, done = [], 0
+    for run in _SEGMENT.finditer(text):
+        first, last = run.span()
+        if last < done or not _enough(run.group()):
+            continue
+        segment = _Segment(text, first, last)
+        at = max(first, done)
+        while at < last:
+            # A boundary stands before the body: the start of a line, or one character that
+            # no earlier hit has taken.
+            line = at == 0 or text[at - 1] == "\n"
+            opened = at - 1 >= done and at > 0 and _BOUNDARY.match(text[at - 1])
+            end = segment.end(at) if line or opened else -1
+            if end < 0:
+                at += 1
                 continue
-            if count >= due and closing(at) >= 0:
-                return at, closing(at)
-            failed[which].add((min(count, due), at))
-            stack.pop()
-        return None
-
-    hits, at = [], 0
-    while at <= size:
-        starts = [at] if at == 0 or text[at - 1] == "\n" else []
-        if at < size and _BOUNDARY.match(text[at]):
-            starts.append(at + 1)
-        found = None
-        for start in starts:
-            for which in (0, 1):
-                found = found or body(start, which)
-            if found:
-                hits.append((text[start : found[0]], at, found[1]))
-                break
-        at = found[1] if found else at + 1
+            begin = at - 1 if opened else at
+            done = _closing(text, end)
+            hits.append((text[at:end], begin, done))
+            at = max(done, at)
     return hits
 
 
-def key_hits(text: str, seconds: float = 0.5) -> list[tuple[str, int, int]]:
-    """``(value, start, end)`` of each key; spans include the boundaries."""
-    try:
-        return [(m.group(1), *m.span()) for m in KEY.finditer(text, timeout=seconds)]
-    except TimeoutError:
-        return key_hits_bounded(text)
+def _enough(run: str) -> bool:
+    return len(run) > 2 and next(
+        (True for k, _ in enumerate(_COUNTED.finditer(run), 1) if k == 3), False)

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 import regex
@@ -63,18 +64,30 @@ def test_same_hits_as_pattern(spark, tag, pattern, alphabet):
         assert hits == want, text
 
 
-def test_bounded_key_matcher():
+def test_key_matcher_equals_the_pattern():
     rng = random.Random(7)
-    for alphabet in ("aA1-:/ _=\n.,", "A1 -", "a1:", "A12 -,\n"):
+    for alphabet in ("aA1-:/ _=\n.,", "A1 -", "a1:", "A12 -,\n", "aA1 \n@:"):
         for _ in range(2000):
-            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 30)))
-            assert pt.key_hits_bounded(text) == [
-                (m.group(1), *m.span()) for m in pt.KEY.finditer(text)], text
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 34)))
+            assert pt.key_hits(text) == [(m.group(1), *m.span()) for m in pt.KEY.finditer(text)], text
 
 
-def test_long_key_ends(spark):
-    # The first text makes the pattern run out of time, the second is one long key.
+def test_email_matcher_equals_the_pattern(spark):
+    rng = random.Random(8)
+    texts = []
+    for alphabet in ("ab.@", "a.@ b>", "ab@.<\n,", "a@.b中>", "xy.@:;()'\""):
+        texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    want = [[(m.group(1), *m.span()) for m in regex.finditer(pt.EMAIL, t, regex.MULTILINE)] for t in texts]
+    assert sum(map(len, want)) > 100
+    assert detect(spark, "EMAIL", *texts) == want
+
+
+def test_long_runs_end_soon(spark):
+    started = time.monotonic()
+    assert pt.key_hits("1" * 1_000_000 + "#") == []
     assert detect(spark, "KEY", "A7" * 2000 + "#", "a1" * 2000) == [[], [("a1" * 2000, 0, 4000)]]
+    assert detect(spark, "EMAIL", "a." * 500_000 + " @") == [[]]
+    assert time.monotonic() - started < 60
 
 
 def test_spans_hold_the_value(spark):
