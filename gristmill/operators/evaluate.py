@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import unicodedata
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,12 +12,16 @@ from gristmill.functions import text as tx
 
 # ---- fixed values --------------------------------------------------------
 ASPECTS = ["语言质量", "信息量", "新颖性", "连贯性", "纯净度"]
-RESPONSE_PATTERN = r"【(.*?)】:(.*?)【分数】(\d+)\n"
+RESPONSE_PATTERN = r"【(.*?)】:(.*?)【分数】(\p{Nd}+)\n"
 MAX_TOKENS = 1000
 TOP_WORDS = 500
 BINS = 10
 # ---- end of fixed values -------------------------------------------------
 
+# Decimal digits of all scripts and their values, by the Unicode rule.
+_DIGITS = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Nd"]
+_ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
 PROMPT = (
     "Score the text between the marks for five aspects, 0 to 10 points each: "
     + ", ".join(ASPECTS)
@@ -82,7 +87,9 @@ def parse_scores(response: Column | str) -> Column:
         hit = F.try_element_at(own, F.lit(-1))
         return F.struct(
             F.coalesce(hit["reason"], F.lit("")).alias("reason"),
-            F.coalesce(hit["score"].try_cast("int"), F.lit(-1)).alias("score"),
+            F.coalesce(
+                F.translate(hit["score"], "".join(_DIGITS), _ASCII_DIGITS).try_cast("int"), F.lit(-1)
+            ).alias("score"),
         )
 
     parsed = F.map_from_arrays(known, F.array(*[last(a) for a in ASPECTS]))

@@ -121,19 +121,19 @@ def dedup_document(
 def concat_segments(
     df: DataFrame, id_col: str = "id", text_col: str = "text", separator: str = "_id_"
 ) -> DataFrame:
-    """Join the segments ``<doc>_id_<n>`` of each document by number: ``(id, text)``.
+    """Join the segments ``<doc>_id_<n>`` of each document by number.
 
-    A result row holds one whole document, so its segments do meet in one task.
+    The id and text columns keep their names, so other steps can follow. A result row holds one whole document, so its segments do meet in one task.
     """
     parts = F.split(F.col(id_col), separator, 2)
     segment = F.struct(
         parts[1].cast("bigint").alias("n"), parts[1].alias("label"), F.col(text_col).alias("text")
     )
-    grouped = df.select(parts[0].alias("id"), segment.alias("segment")).groupBy("id").agg(
+    grouped = df.select(parts[0].alias(id_col), segment.alias("segment")).groupBy(id_col).agg(
         F.array_sort(F.collect_list("segment")).alias("segments")
     )
     return grouped.select(
-        "id", F.array_join(F.transform("segments", lambda s: s["text"]), "\n").alias("text")
+        id_col, F.array_join(F.transform("segments", lambda s: s["text"]), "\n").alias(text_col)
     )
 
 

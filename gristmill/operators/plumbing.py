@@ -17,8 +17,18 @@ def parse_meta(meta: Column | str) -> Column:
 
 
 def concat_columns(left: DataFrame, right: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The columns of two tables side by side; both must have the same ids."""
-    return left.join(right, id_col, "inner")
+    """The columns of two tables side by side; an id on one side only is an error.
+
+    The check is part of the join: the row that lacks a side stops the job.
+    """
+    left = left.withColumn("_left", F.lit(True))
+    right = right.withColumn("_right", F.lit(True))
+    joined = left.join(right, id_col, "full")
+    missing = F.concat(F.lit("id on one side only: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    complete = F.when(
+        F.col("_left").isNotNull() & F.col("_right").isNotNull(), F.lit(True)
+    ).otherwise(F.raise_error(missing).cast("boolean"))
+    return joined.filter(complete).drop("_left", "_right")
 
 
 def add_row_index(df: DataFrame, order_by: list[str], name: str = "row_index") -> DataFrame:

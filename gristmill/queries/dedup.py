@@ -75,7 +75,7 @@ def _raw(algorithm: str):
 def _pages(spark, folder) -> DataFrame:
     # Every page and three further addresses of it.
     pages = table(spark, folder, "pages").select(
-        "page_id", "url", F.length("html").cast("string").alias("text"))
+        "page_id", "url", F.col("html").alias("text"))
     path = F.regexp_extract("url", "^([^?#]*)", 1)
     variants = F.array(
         F.col("url"),
@@ -89,7 +89,7 @@ def _pages(spark, folder) -> DataFrame:
 
 
 _PAGES_SQL = (
-    "base AS (SELECT page_id, url, length(html)::VARCHAR AS text, "
+    "base AS (SELECT page_id, url, html AS text, "
     "regexp_extract(url, '^([^?#]*)', 1) AS path FROM pages), "
     "variants AS (SELECT page_id * 4 AS doc_id, url, text FROM base UNION ALL "
     "SELECT page_id * 4 + 1, path || '?news-id=' || page_id || '&x=1', text FROM base UNION ALL "
@@ -144,6 +144,14 @@ def _segments(spark, folder) -> DataFrame:
     return exact.concat_segments(named)
 
 
+def _segments_then_copies(spark, folder) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    named = turns.select(
+        F.concat_ws("_id_", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+        .alias("doc_id"), "text")
+    return apply_steps(named, ["concat_segments", "dedup_document"])
+
+
 def _size(spark, folder) -> DataFrame:
     return reports.size_bytes(table(spark, folder, "documents"))
 
@@ -209,6 +217,11 @@ QUERIES = {
         _segments,
         "SELECT conv_id::VARCHAR AS id, string_agg(text, chr(10) ORDER BY turn, text) AS text "
         "FROM conversations GROUP BY conv_id"),
+    "d14_concat_then_dedup": (
+        _segments_then_copies,
+        "WITH whole AS (SELECT conv_id::VARCHAR AS doc_id, string_agg(text, chr(10) ORDER BY turn, text) "
+        "AS text FROM conversations GROUP BY conv_id) "
+        f"SELECT doc_id, CASE WHEN {_first_sql(_LETTERS)} THEN text ELSE '' END AS text FROM whole"),
     "r01_size_bytes": (
         _size, f"SELECT count(*) AS rows, {_BYTES} AS bytes FROM documents"),
     "r01_estimate_size": (_estimate, None),

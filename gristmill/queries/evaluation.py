@@ -23,9 +23,12 @@ def _responses(spark, folder) -> DataFrame:
     last = F.col("doc_id") % 10
     lines = []
     for i, name in enumerate(_NAMES):
+        # One document in ten answers with fullwidth digits.
+        score = F.when(last == 8, F.translate(_score(i).cast("string"), "0123456789", "０１２３４５６７８９")).otherwise(
+            _score(i).cast("string"))
         label = F.when((last == 7) & F.lit(i == 2), F.lit("other")).otherwise(F.lit(name))
         line = F.concat(F.lit("【"), label, F.lit("】:reason "), F.col("doc_id").cast("string"),
-                        F.lit("【分数】"), _score(i).cast("string"))
+                        F.lit("【分数】"), score)
         lines.append(F.when((last == 3) & F.lit(i == 4), F.lit(None)).otherwise(line))
     return labels.select("doc_id", F.concat_ws("\n", *lines).alias("response"))
 

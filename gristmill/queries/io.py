@@ -52,7 +52,7 @@ def _unescaped(spark, folder) -> DataFrame:
     # The raw lines: characters are not escaped and null fields are written.
     path = new_path(spark, "lines")
     docs = table(spark, folder, "documents")
-    nulls = docs.select("doc_id", F.when(F.col("lang") != "en", F.col("lang")).alias("lang"))
+    nulls = docs.select("doc_id", F.when(F.col("lang") != "en", F.col("lang")).alias("lang"), "text")
     jsonl.write_jsonl(nulls, path)
     return spark.read.text(path).select(F.col("value").alias("line"))
 
@@ -60,18 +60,18 @@ def _unescaped(spark, folder) -> DataFrame:
 def _guarded(spark, folder) -> DataFrame:
     # The second write finds a result and leaves it; empty input writes nothing.
     path = new_path(spark, "guarded")
-    docs = table(spark, folder, "documents").select("doc_id", "lang")
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     jsonl.write_guarded(docs, path)
     jsonl.write_guarded(docs.withColumn("lang", F.lit("other")), path)
     jsonl.write_guarded(docs.filter("doc_id < 0"), path, from_scratch=True)
-    return jsonl.read_jsonl(spark, path, "doc_id bigint, lang string")
+    return jsonl.read_jsonl(spark, path, "doc_id bigint, lang string, text string")
 
 
 def _keywords(spark, folder) -> DataFrame:
-    # Keyword files with the first line of each document.
+    # Keyword files with all lines of the documents.
     path = new_path(spark, "keywords")
-    first = F.element_at(F.split("text", "\n"), 1)
-    table(spark, folder, "documents").select(F.concat(first, F.lit(",")).alias("value")).write.text(path)
+    lines = table(spark, folder, "documents").select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    lines.select(F.concat("line", F.lit(",")).alias("value")).write.text(path)
     return wordlists.load_keywords(spark, path)
 
 
@@ -156,8 +156,6 @@ def _dataset_name(spark, folder) -> DataFrame:
         "doc_id", plumbing.dataset_name(path, "catalogue", "/mnt/data/").alias("name"))
 
 
-_FIRST = r"split_part(text, chr(10), 1)"
-
 QUERIES = {
     "s01_read_jsonl_strict": (_strict, _COLUMNS),
     "s02_read_jsonl_tolerant": (
@@ -169,12 +167,12 @@ QUERIES = {
     "s05_write_jsonl": (
         _unescaped,
         "SELECT '{\"doc_id\":' || doc_id || ',\"lang\":' || CASE WHEN lang = 'en' THEN 'null' "
-        "ELSE '\"' || lang || '\"' END || '}' AS line FROM documents"),
-    "s06_guarded_write": (_guarded, "SELECT doc_id, lang FROM documents"),
+        "ELSE '\"' || lang || '\"' END || ',\"text\":' || to_json(text) || '}' AS line FROM documents"),
+    "s06_guarded_write": (_guarded, "SELECT doc_id, lang, text FROM documents"),
     "s07_load_keywords": (
         _keywords,
-        f"SELECT DISTINCT keyword FROM (SELECT rtrim({strip_sql(_FIRST + " || ','")}, ',') "
-        "AS keyword FROM documents) WHERE keyword <> ''"),
+        f"SELECT DISTINCT keyword FROM (SELECT rtrim({strip_sql("line || ','")}, ',') AS keyword "
+        "FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE keyword <> ''"),
     "s08_load_stopwords": (
         _stopwords,
         r"SELECT unnest(regexp_split_to_array(text, '\s')) AS word FROM benchmark"),

@@ -2,40 +2,31 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import STRIP_CHARS, strip
 
-_JVM_CHARSETS = {"UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}
-
 
 def _lines(spark: SparkSession, folder: str, charset: str) -> DataFrame:
-    if charset.upper() in _JVM_CHARSETS:
-        return (
-            spark.read.schema("line string")
-            .option("encoding", charset)
-            .option("pathGlobFilter", "*.txt")
-            .option("sep", "\x01")
-            .option("quote", "")
-            .csv(folder)
-        )
-
-    @F.pandas_udf("string")
-    def decoded(lines: pd.Series) -> pd.Series:
-        return lines.map(lambda line: bytes(line).decode(charset))
+    # A file is decoded whole, as line ends are not single bytes in every charset.
+    @F.pandas_udf("array<string>")
+    def decoded(files: pd.Series) -> pd.Series:
+        return files.map(lambda data: re.split("\r\n|[\r\n]", bytes(data).decode(charset)))
 
-    # The text reader keeps the bytes of a line as they are.
-    raw = spark.read.option("pathGlobFilter", "*.txt").text(folder)
-    return raw.select(decoded(F.col("value").cast("binary")).alias("line"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
+    return files.select(F.explode(decoded("content")).alias("line"))
 
 
 def load_keywords(spark: SparkSession, folder: str, charset: str = "UTF-8") -> DataFrame:
     """Distinct ``keyword`` of all ``*.txt`` files, one per line.
 
     White space at both ends and then commas at the end are removed; a comma hides
-    the blanks before it from the first strip, and they stay.
+    the blanks before it from the first strip, and they stay. Any charset that Python
+    knows is read; a file is held by one task, which list files are small enough for.
     """
     keyword = F.rtrim(strip("line"), F.lit(","))
     lines = _lines(spark, folder, charset)

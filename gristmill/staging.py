@@ -46,12 +46,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition when the input has fewer partitions than the cluster has cores.
+    """Repartition when the input has fewer splits than the cluster has cores.
 
-    A small single file is read by one task. Large inputs already have more
-    splits than cores and are returned unchanged, so nothing is shuffled there.
+    A small single file is read by one task. Large inputs already have more splits than
+    cores and are returned unchanged, so nothing is shuffled there. Splits are told from
+    the number of files and the planner's size estimate; no job is started.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming:
+        return df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if len(df.inputFiles()) >= cores or size >= split * cores:
         return df
     return df.repartition(cores, *keys) if keys else df.repartition(cores)

@@ -7,6 +7,8 @@ from gristmill.functions import urls
 from gristmill.operators import exact, fuzzy, plumbing, reports
 from gristmill.operators.components import connected_components
 from gristmill.operators.skew import join_groups
+from gristmill.plans.corpus import apply_steps
+from gristmill.staging import spread
 
 
 def frame(spark, *texts):
@@ -117,6 +119,30 @@ def test_segments(spark):
     rows = spark.createDataFrame(
         [("a_id_10", "ten"), ("a_id_2", "two"), ("b_id_1", "x")], "id string, text string")
     assert texts(exact.concat_segments(rows), "id") == {"a": "two\nten", "b": "x"}
+    named = rows.toDF("doc_id", "text")
+    after = apply_steps(named, ["concat_segments", "dedup_document"])
+    assert texts(after, "doc_id") == {"a": "two\nten", "b": "x"}
+
+
+def test_columns_side_by_side_need_both_sides(spark):
+    two = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id int, x string")
+    same = spark.createDataFrame([(2, "d"), (1, "c")], "doc_id int, y string")
+    assert sorted(map(tuple, plumbing.concat_columns(two, same).collect())) == [(1, "a", "c"), (2, "b", "d")]
+    for left, right in ((two, same.limit(1)), (two.limit(1), same)):
+        with pytest.raises(Exception, match="one side only"):
+            plumbing.concat_columns(left, right).collect()
+
+
+def test_spreading_starts_no_job(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(100).write.parquet(path)
+    rows = spark.read.parquet(path)
+    grouped = rows.join(rows.groupBy("id").count(), "id")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("spread", "")
+    spread(grouped)
+    assert not tracker.getJobIdsForGroup("spread")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_plumbing(spark):

@@ -143,13 +143,13 @@ def test_files(spark, tmp_path):
     assert '"text":"é"' in lines
 
 
-@pytest.mark.parametrize("charset", ["UTF-8", "GBK"])
+@pytest.mark.parametrize("charset", ["UTF-8", "GBK", "UTF-16", "UTF-16LE"])
 def test_wordlists(spark, tmp_path, charset):
     (tmp_path / "a.txt").write_bytes(" bad word, \n\n坏,,\n".encode(charset))
-    (tmp_path / "b.txt").write_bytes('坏\n"quoted"\n'.encode(charset))
+    (tmp_path / "b.txt").write_bytes('坏\n"quoted"\r\nvery\x01odd\n'.encode(charset))
     (tmp_path / "c.csv").write_bytes(b"ignored\n")
     got = {r["keyword"] for r in wordlists.load_keywords(spark, str(tmp_path), charset).collect()}
-    assert got == {"bad word", "坏", '"quoted"'}
+    assert got == {"bad word", "坏", '"quoted"', "very\x01odd"}
 
 
 def test_steps_and_checks(spark, tmp_path):
