@@ -170,3 +170,14 @@ def test_rowwise_steps_on_a_stream(spark, tmp_path):
     write_jsonl_stream(cleaned, sink, str(tmp_path / "log")).awaitTermination()
     got = {r["doc_id"]: r["text"] for r in spark.read.json(sink).collect()}
     assert got == {0: "mail PI:EMAIL now", 1: "x" * 130}
+
+
+def test_language_filter_paths_agree_and_the_small_one_has_no_join(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.train_langid(docs)
+    near = langid.language_filter(docs, "de", model)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    far = langid.language_filter(docs, "de", model, max_table_rows=0)
+    assert {r.doc_id for r in near.collect()} == {r.doc_id for r in far.collect()} != set()
+    assert langid.language_filter(docs, "xx", model).count() == 0
