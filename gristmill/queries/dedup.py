@@ -18,7 +18,7 @@ _LINES = (
 )
 
 
-def _template_sql(size: int, occurrence: int) -> str:
+def template_sql(size: int, occurrence: int) -> str:
     return (
         f"{_LINES}, template AS (SELECT line FROM lines WHERE length(line) >= {size} "
         f"GROUP BY line HAVING count(*) >= {occurrence}), "
@@ -180,9 +180,9 @@ QUERIES = {
         f"WITH {_LINES} SELECT md5(line) AS hash, count(*) AS n FROM lines "
         "WHERE length(line) >= 15 GROUP BY line HAVING count(*) >= 10"),
     "d04_remove_template_lines_soft": (
-        _soft, f"WITH {_template_sql(15, 10)} SELECT doc_id, text, lang FROM cleaned"),
+        _soft, f"WITH {template_sql(15, 10)} SELECT doc_id, text, lang FROM cleaned"),
     "d05_remove_template_lines_newspapers": (
-        _newspapers, f"WITH {_template_sql(0, 2)} SELECT doc_id, text, lang FROM cleaned"),
+        _newspapers, f"WITH {template_sql(0, 2)} SELECT doc_id, text, lang FROM cleaned"),
     "d07_dedup_document_blank": (
         _blank,
         f"SELECT doc_id, CASE WHEN {_first_sql(_LETTERS)} THEN text ELSE '' END AS text, lang "
@@ -211,7 +211,7 @@ QUERIES = {
         _raw("sha1"), f"SELECT doc_id, source FROM documents QUALIFY {_first_sql('text')}"),
     "d14_default_steps": (
         _steps,
-        f"WITH {_template_sql(15, 10)} SELECT doc_id, CASE WHEN {_first_sql(_LETTERS)} THEN text "
+        f"WITH {template_sql(15, 10)} SELECT doc_id, CASE WHEN {_first_sql(_LETTERS)} THEN text "
         "ELSE '' END AS text, lang FROM cleaned"),
     "d15_concat_segments": (
         _segments,
@@ -224,7 +224,10 @@ QUERIES = {
         f"SELECT doc_id, CASE WHEN {_first_sql(_LETTERS)} THEN text ELSE '' END AS text FROM whole"),
     "r01_size_bytes": (
         _size, f"SELECT count(*) AS rows, {_BYTES} AS bytes FROM documents"),
-    "r01_estimate_size": (_estimate, None),
+    "r01_estimate_size": (
+        _estimate,
+        # Up to 10,000 rows the sample is the whole table.
+        "SELECT sum(strlen(text))::DOUBLE AS bytes FROM documents"),
     "r02_step_report": (
         _report,
         f"WITH after AS (SELECT text FROM documents QUALIFY {_first_sql(_LETTERS)}), "

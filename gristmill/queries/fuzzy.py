@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import shingles as sh
 from gristmill.operators import fuzzy
 from gristmill.queries.common import table
+from gristmill.staging import stage
 
 _NONE = str(sh.MAX_HASH)
 
@@ -58,7 +59,7 @@ def _edges_sql(bands: int, rows: int) -> str:
     )
 
 
-def _clusters_sql(bands: int, rows: int) -> str:
+def clusters_sql(bands: int, rows: int) -> str:
     return (
         f"{_edges_sql(bands, rows)}, links AS MATERIALIZED (SELECT src AS u, dst AS v FROM edges UNION "
         "SELECT dst, src FROM edges), reach AS (SELECT u AS node, u AS root FROM links UNION "
@@ -109,7 +110,8 @@ def _bands(spark, folder) -> DataFrame:
 
 def _edges(spark, folder) -> DataFrame:
     found = fuzzy.minhash_signatures(table(spark, folder, "documents"))
-    return fuzzy.lsh_edges(fuzzy.lsh_bands(found, 4, 6))
+    # The bands are read twice, so they are written once.
+    return fuzzy.lsh_edges(stage(fuzzy.lsh_bands(found, 4, 6), "bands"))
 
 
 def _components(spark, folder) -> DataFrame:
@@ -197,29 +199,29 @@ QUERIES = {
         _bands, f"WITH {_bands_sql(4, 6)} SELECT doc_id, band, band_key FROM bands"),
     "m09_lsh_edges": (_edges, f"WITH {_edges_sql(4, 6)} SELECT src, dst FROM edges"),
     "m10_connected_components": (
-        _components, f"WITH RECURSIVE {_clusters_sql(4, 6)} SELECT doc_id, cluster FROM clusters"),
+        _components, f"WITH RECURSIVE {clusters_sql(4, 6)} SELECT doc_id, cluster FROM clusters"),
     "m11_assign_clusters": (
         _assigned,
-        f"WITH RECURSIVE {_clusters_sql(4, 6)} SELECT doc_id, lang, coalesce(cluster, doc_id) "
+        f"WITH RECURSIVE {clusters_sql(4, 6)} SELECT doc_id, lang, coalesce(cluster, doc_id) "
         "AS cluster FROM documents LEFT JOIN clusters USING (doc_id)"),
     "m12_fuzzy_dedup": (
         _kept(0.7),
-        f"WITH RECURSIVE {_clusters_sql(4, 6)} SELECT doc_id, text, doc_id AS cluster "
+        f"WITH RECURSIVE {clusters_sql(4, 6)} SELECT doc_id, text, doc_id AS cluster "
         "FROM documents LEFT JOIN clusters USING (doc_id) WHERE coalesce(cluster, doc_id) = doc_id"),
     "m13_fuzzy_duplicates": (
         _dropped,
-        f"WITH RECURSIVE {_clusters_sql(4, 6)} SELECT doc_id, text, cluster FROM documents "
+        f"WITH RECURSIVE {clusters_sql(4, 6)} SELECT doc_id, text, cluster FROM documents "
         "JOIN clusters USING (doc_id) WHERE cluster <> doc_id"),
     "m14_jaccard_tokens": (_jaccard(sh.ascii_tokens), _jaccard_sql(
             f"WITH items AS (SELECT doc_id, list_distinct({_TOKENS}) AS g FROM documents) ")),
     "m14_jaccard_characters": (_jaccard(sh.characters), _jaccard_sql(_CHARACTER_GRAMS_SQL)),
     "m16_fuzzy_dedup_stricter": (
         _kept(0.8),
-        f"WITH RECURSIVE {_clusters_sql(3, 8)} SELECT doc_id, text, doc_id AS cluster "
+        f"WITH RECURSIVE {clusters_sql(3, 8)} SELECT doc_id, text, doc_id AS cluster "
         "FROM documents LEFT JOIN clusters USING (doc_id) WHERE coalesce(cluster, doc_id) = doc_id"),
     "m17_before_after": (
         _counts,
-        f"WITH RECURSIVE {_clusters_sql(4, 6)} SELECT 'before' AS stage, count(*) AS n FROM documents "
+        f"WITH RECURSIVE {clusters_sql(4, 6)} SELECT 'before' AS stage, count(*) AS n FROM documents "
         "UNION ALL SELECT 'after', count(*) FROM documents LEFT JOIN clusters USING (doc_id) "
         "WHERE coalesce(cluster, doc_id) = doc_id"),
 }

@@ -10,6 +10,8 @@ from gristmill.operators import plumbing
 from gristmill.operators.exact import remove_template_lines
 from gristmill.operators.fuzzy import fuzzy_clusters
 from gristmill.queries.common import strip_sql, table, unify_whitespace_sql
+from gristmill.queries.dedup import template_sql
+from gristmill.queries.fuzzy import clusters_sql
 from gristmill.sources import jsonl, wordlists
 from gristmill.staging import new_path
 from gristmill.streaming.jsonl import read_jsonl_stream, write_jsonl_stream
@@ -176,8 +178,12 @@ QUERIES = {
     "s08_load_stopwords": (
         _stopwords,
         r"SELECT unnest(regexp_split_to_array(text, '\s')) AS word FROM benchmark"),
-    "s09_step_checks": (_checks, None),
-    "s10_cluster_table": (_cluster_table, None),
+    "s09_step_checks": (
+        _checks,
+        f"WITH {template_sql(15, 10)} SELECT doc_id, c.text, d.text AS old_text FROM cleaned c "
+        "JOIN documents d USING (doc_id) WHERE c.text IS DISTINCT FROM d.text"),
+    "s10_cluster_table": (
+        _cluster_table, f"WITH RECURSIVE {clusters_sql(4, 6)} SELECT doc_id, cluster FROM clusters"),
     "stream_jsonl": (
         _stream, f"SELECT doc_id, {unify_whitespace_sql('text')} AS text FROM documents"),
     "j01_columns": (_columns, "SELECT doc_id, lang, n_chars AS characters FROM documents"),
