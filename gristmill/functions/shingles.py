@@ -150,3 +150,22 @@ def jaccard(left: Column, right: Column) -> Column:
 def jaccard_similarity(left: Column, right: Column, n: int = 8, min_length: int = 0) -> Column:
     """Jaccard similarity of the n-grams of two token arrays (see :func:`characters`)."""
     return jaccard(ngrams(left, n, min_length), ngrams(right, n, min_length))
+
+
+def character_jaccard(left: Column | str, right: Column | str, n: int = 8) -> Column:
+    """Jaccard similarity of the n-character windows of two texts; a shorter text is one window.
+
+    The same as ``jaccard_similarity(characters(left), characters(right), n)``, in Arrow
+    batches: an array of single characters takes many times the room of its text.
+    """
+
+    def windows(text: str | None) -> set[str]:
+        text = text or ""
+        return {text[i : i + n] for i in range(max(1, len(text) - n + 1))}
+
+    @F.pandas_udf("double")
+    def share(a: pd.Series, b: pd.Series) -> pd.Series:
+        pairs = ((windows(x), windows(y)) for x, y in zip(a, b))
+        return pd.Series([len(x & y) / len(x | y) for x, y in pairs], dtype="float64")
+
+    return share(left, right)

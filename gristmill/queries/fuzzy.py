@@ -144,13 +144,16 @@ def _counts(spark, folder) -> DataFrame:
     return both.unionByName(kept.select(F.lit("after").alias("stage"), "n"))
 
 
+def _by_token(left: str, right: str):
+    return sh.jaccard_similarity(sh.ascii_tokens(left), sh.ascii_tokens(right), 1)
+
+
 def _jaccard(function):
     # Texts are paired first; their token arrays are many times larger.
     def query(spark, folder) -> DataFrame:
         docs = table(spark, folder, "documents").select("doc_id", "text")
         following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next"))
-        size = 8 if function is sh.characters else 1
-        value = sh.jaccard_similarity(function("text"), function("next"), size)
+        value = function("text", "next")
         pairs = docs.join(following, "doc_id")
         return pairs.select("doc_id", F.round(value, 9).alias("similarity"))
 
@@ -212,9 +215,9 @@ QUERIES = {
         _dropped,
         f"WITH RECURSIVE {clusters_sql(4, 6)} SELECT doc_id, text, cluster FROM documents "
         "JOIN clusters USING (doc_id) WHERE cluster <> doc_id"),
-    "m14_jaccard_tokens": (_jaccard(sh.ascii_tokens), _jaccard_sql(
+    "m14_jaccard_tokens": (_jaccard(_by_token), _jaccard_sql(
             f"WITH items AS (SELECT doc_id, list_distinct({_TOKENS}) AS g FROM documents) ")),
-    "m14_jaccard_characters": (_jaccard(sh.characters), _jaccard_sql(_CHARACTER_GRAMS_SQL)),
+    "m14_jaccard_characters": (_jaccard(sh.character_jaccard), _jaccard_sql(_CHARACTER_GRAMS_SQL)),
     "m16_fuzzy_dedup_stricter": (
         _kept(0.8),
         f"WITH RECURSIVE {clusters_sql(3, 8)} SELECT doc_id, text, doc_id AS cluster "

@@ -104,6 +104,11 @@ def test_jaccard(spark):
         sh.jaccard_similarity(F.split(a, " "), F.split(b, " "), 1),
     ).first()
     assert row[0] == 1.0 and row[1] == 0.8 and row[2] == pytest.approx(1 / 3)
+    texts = ["hello world", "hello world!", "", None, "short", "中文中文中文中文中文 abc", "a\nb\nc\nd\ne\nf", "aaaaaaaaaaaa"]
+    pairs = spark.createDataFrame([(x, y) for x in texts for y in texts], "a string, b string")
+    slow = sh.jaccard_similarity(sh.characters(F.coalesce(a, F.lit(""))), sh.characters(F.coalesce(b, F.lit(""))))
+    rows = pairs.select(sh.character_jaccard("a", "b").alias("x"), slow.alias("y")).collect()
+    assert all(r.x == r.y for r in rows)
 
 
 def test_optimal_bands():
