@@ -33,7 +33,9 @@ from gristmill.staging import stage
 #: Bytes turned into identifiers at a time.
 BLOCK = 512 << 10
 #: Identifiers sorted by one task, about.
-RANGE = 4_000_000
+RANGE = 2_000_000
+#: Identifiers of a chunk, about.
+CHUNK = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -145,48 +147,79 @@ class _Anchors:
                     ["_key", "_id", "_at", "_anchors"])
 
 
+#: What travels to the ranges: identifiers of a chunk of texts, or the record of the chunk.
+_SENT = (
+    "_part long, _chunk long, _twice boolean, _ids binary, "
+    "_keys array<binary>, _ats array<long>, _counts array<long>, _copied array<boolean>, _which binary")
+
+
+def _sent_batch(rows: list[tuple], last: str) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()),
+             pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary())
+    names = ["_part", "_chunk", "_twice", last, "_keys", "_ats", "_counts", "_copied", "_which"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
 class _Identifiers:
-    """mapInArrow over (key, copies, shared, text): identifiers of open strings by range."""
+    """mapInArrow over (key, copies, shared, text): identifiers of open strings by range.
+
+    The texts of a task are gathered to chunks. A chunk sends one row to each range, and a
+    record of which identifier went where, so that the bits that come back find their place.
+    """
 
     def __init__(self, length: int, parts: int):
         self.length, self.parts = length, parts
 
+    def _flush(self, chunk: int, held: list[tuple]) -> pa.RecordBatch:
+        keys, ats, copied, ids = zip(*held)
+        counts = [len(i) for i in ids]
+        flat = np.concatenate(ids)
+        which = (flat % np.uint64(self.parts)).astype(np.uint32)
+        place = which * np.uint32(2) + np.repeat(np.array(copied, np.uint32), counts)
+        order = np.argsort(place, kind="stable")
+        cuts = np.flatnonzero(np.diff(place[order])) + 1
+        rows = [
+            (int(place[mine[0]]) >> 1, chunk, bool(place[mine[0]] & 1), flat[mine].tobytes(), None, None, None, None, None)
+            for mine in np.split(order, cuts)]
+        small = which.astype(np.uint16) if self.parts <= 1 << 16 else which
+        rows.append((chunk % self.parts, chunk, None, None, keys, ats, counts, copied, small.tobytes()))
+        return _sent_batch(rows, "_ids")
+
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        # The same task sees the same texts in the same order, so chunks keep their names.
+        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for at, part, data, offsets in _blocks(batch, 3, self.length):
                 keys, copies = part.column(0).to_pylist(), part.column(1).to_pylist()
-                out = []
-                for row, _, ids in open_strings(data, offsets, part.column(2), self.length):
-                    which = ids % np.uint64(self.parts)
-                    order = np.argsort(which.astype(np.uint32), kind="stable")
-                    ends = np.searchsorted(which[order], np.arange(self.parts + 1, dtype=np.uint64))
-                    ids = ids[order]
-                    for k in np.flatnonzero(np.diff(ends)).tolist():
-                        out.append((k, keys[row], at, copies[row] > 1, ids[ends[k]:ends[k + 1]].tobytes()))
-                columns = list(zip(*out)) if out else [()] * 5
-                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], ["_part", "_key", "_at", "_twice", "_ids"])
-
-
-def open_strings(data, offsets, shared: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(row, starts in the block, identifiers)`` of the strings whose anchors are shared."""
+                strings, starts = open_strings(data, offsets, part.column(2), self.length)
+                if not len(starts):
+                    continue
+                ids, row = strings.full()[starts], strings.row[starts]
+                for mine in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(row)) + 1):
+                    r = int(row[mine[0]])
+                    held.append((keys[r], at, copies[r] > 1, ids[mine]))
+                size += len(starts)
+                if size >= CHUNK:
+                    yield self._flush(chunk, held)
+                    chunk, held, size = chunk + 1, [], 0
+        if held:
+            yield self._flush(chunk, held)
+
+
+def open_strings(data, offsets, shared: pa.Array, length: int) -> tuple[_Strings, np.ndarray]:
+    """Strings of a block, and the starts of those whose anchors are shared."""
     values = shared.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
     strings = _Strings(data, offsets, length)
-    at = strings.open(np.unique(values))
-    if not len(at):
-        return
-    ids = strings.full()[at]
-    row = strings.row[at]
-    for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(row)) + 1):
-        yield int(row[part[0]]), at[part], ids[part]
+    return strings, strings.open(np.unique(values))
 
 
 class _Shared:
     """mapInArrow over identifiers sorted by range: a bit for each, set if its bucket holds two."""
 
     def _bits(self, rows: list[tuple]) -> pa.RecordBatch:
-        ids = [np.frombuffer(r[4], np.uint64) for r in rows]
+        ids = [np.frombuffer(r[3], np.uint64) for r in rows]
         sizes = [len(i) for i in ids]
         flat = np.concatenate(ids)
         order = np.argsort(flat)
@@ -196,7 +229,7 @@ class _Shared:
         twice[1:] |= same
         twice[:-1] |= same
         # A text that has copies counts for two.
-        copied = np.repeat([r[3] for r in rows], sizes)[order]
+        copied = np.repeat([r[2] for r in rows], sizes)[order]
         if copied.any():
             bucket = np.cumsum(np.r_[True, ~same]) - 1
             twice |= np.bincount(bucket, copied)[bucket] > 0
@@ -204,14 +237,15 @@ class _Shared:
         flags[order] = twice
         ends = np.cumsum([0, *sizes])
         bits = [np.packbits(flags[a:b]).tobytes() for a, b in zip(ends, ends[1:])]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int64()),
-             pa.array([r[0] for r in rows], pa.int64()), pa.array(bits, pa.binary())], ["_key", "_at", "_part", "_bits"])
+        return _sent_batch([(*r[:3], b, *r[4:]) for r, b in zip(rows, bits)], "_bits")
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows = None, []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[3] is None:
+                    yield _sent_batch([(-1, *row[1:])], "_bits")
+                    continue
                 if row[0] != group and rows:
                     yield self._bits(rows)
                     rows = []
@@ -221,11 +255,45 @@ class _Shared:
             yield self._bits(rows)
 
 
+class _Return:
+    """mapInArrow over bits sorted by chunk, its record first: the bits of each text."""
+
+    @staticmethod
+    def _texts(record: tuple, rows: list[tuple]) -> pa.RecordBatch:
+        _, _, _, _, keys, ats, counts, copied, which = record
+        total = sum(counts)
+        place = np.frombuffer(which, np.uint16 if len(which) == 2 * total else np.uint32).astype(np.uint32)
+        place = place * np.uint32(2) + np.repeat(np.array(copied, np.uint32), counts)
+        order = np.argsort(place, kind="stable")
+        found = {(r[0], r[2]): r[3] for r in rows}
+        flags = np.zeros(total, bool)
+        for mine in np.split(order, np.flatnonzero(np.diff(place[order])) + 1):
+            bits = found[int(place[mine[0]]) >> 1, bool(place[mine[0]] & 1)]
+            flags[mine] = np.unpackbits(np.frombuffer(bits, np.uint8))[:len(mine)]
+        ends = np.cumsum([0, *counts])
+        packed = [np.packbits(flags[a:b]).tobytes() for a, b in zip(ends, ends[1:])]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.binary()), pa.array(ats, pa.int64()), pa.array(packed, pa.binary())], ["_key", "_at", "_bits"])
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        record, rows = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] < 0:
+                    if record:
+                        yield self._texts(record, rows)
+                    record, rows = row, []
+                else:
+                    rows.append(row)
+        if record:
+            yield self._texts(record, rows)
+
+
 class _Remove:
     """mapInArrow over (id, copies, shared, bits, text): what is kept, and the removed spans."""
 
-    def __init__(self, length: int, parts: int):
-        self.length, self.parts = length, parts
+    def __init__(self, length: int):
+        self.length = length
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,17 +307,13 @@ class _Remove:
                 np.add.at(cover, offsets[1:][copied], -1)
                 open_ = pa.array([b is not None and not c for b, c in zip(part.column(3).to_pylist(), copied)])
                 at = np.flatnonzero(open_.to_numpy(zero_copy_only=False))
-                # The same slices as when the identifiers were sent, so the bits fit.
+                # The same stretches as when the identifiers were sent, so the bits fit.
                 for k in at.tolist():
-                    bits = {(b["_at"], b["_part"]): b["_bits"] for b in part.column(3)[k].as_py()}
+                    bits = {b["_at"]: b["_bits"] for b in part.column(3)[k].as_py()}
                     for begin, _, some, ends in _blocks(part.slice(k, 1), 4, self.length):
-                        for _, starts, ids in open_strings(some, ends, part.column(2).slice(k, 1), self.length):
-                            which = ids % np.uint64(self.parts)
-                            flags = np.zeros(len(ids), bool)
-                            for one in np.unique(which).tolist():
-                                mine = np.flatnonzero(which == one)
-                                held = np.frombuffer(bits[begin, one], np.uint8)
-                                flags[mine] = np.unpackbits(held)[:len(mine)]
+                        _, starts = open_strings(some, ends, part.column(2).slice(k, 1), self.length)
+                        if len(starts):
+                            flags = np.unpackbits(np.frombuffer(bits[begin], np.uint8))[:len(starts)].astype(bool)
                             found = offsets[k] + begin + starts[flags]
                             np.add.at(cover, found, 1)
                             np.add.at(cover, found + self.length, -1)
@@ -306,16 +370,16 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     expected = open_.agg(F.sum(F.size("_shared"))).first()[0] or 0
     parts = max(1, -(-expected * length // 3 // RANGE))
     one = join_ids(long_, open_, "_key", bytes_of=F.size("_shared") * 8 + 64).filter(F.col("_id").eqNullSafe(F.col("_first")))
-    sent = one.select("_key", "_copies", "_shared", "_text").mapInArrow(
-        _Identifiers(length, parts), "_part long, _key binary, _at long, _twice boolean, _ids binary")
-    back = sent.repartition("_part").sortWithinPartitions("_part").mapInArrow(
-        _Shared(), "_key binary, _at long, _part long, _bits binary")
-    bits = stage(back, "bits").dropDuplicates(["_key", "_at", "_part"]).groupBy("_key").agg(
-        F.collect_list(F.struct("_at", "_part", "_bits")).alias("_bits"))
+    sent = one.select("_key", "_copies", "_shared", "_text").mapInArrow(_Identifiers(length, parts), _SENT)
+    back = sent.repartition("_part").sortWithinPartitions("_part").mapInArrow(_Shared(), _SENT.replace("_ids", "_bits"))
+    back = back.repartition("_chunk").sortWithinPartitions("_chunk", "_part").mapInArrow(
+        _Return(), "_key binary, _at long, _bits binary")
+    bits = stage(back, "bits").dropDuplicates(["_key", "_at"]).groupBy("_key").agg(
+        F.collect_list(F.struct("_at", "_bits")).alias("_bits"))
     known = stage(whole.select("_key", "_copies").join(open_.select("_key", "_shared"), "_key", "left").join(
         bits, "_key", "left").filter("_copies > 1 OR _bits IS NOT NULL"), "known")
     size = F.coalesce(F.size("_shared"), F.lit(0)) * 8 + 64 + F.aggregate(
         F.coalesce("_bits", F.array()), F.lit(0), lambda n, b: n + 32 + F.octet_length(b["_bits"]))
     rows = join_ids(base, known, "_key", "left", size).select("_id", "_copies", "_shared", "_bits", "_text")
     return rows.mapInArrow(
-        _Remove(length, parts), "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
+        _Remove(length), "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
