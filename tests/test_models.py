@@ -74,7 +74,9 @@ def test_perplexity(spark, rows, hot):
         words = ["<s>", *text.split(), "</s>"]
         total = sum(log10(h, w) for h, w in zip(words, words[1:]))
         assert got[i] == pytest.approx(10 ** (-total / (len(words) - 1)), abs=0.051)
-    assert ids(ngram_lm.perplexity_filter(docs, model, got[0])) == {i for i in got if got[i] <= got[0]}
+    for most in (0, 10_000):
+        kept = ngram_lm.perplexity_filter(docs, model, got[0], max_broadcast_rows=most)
+        assert ids(kept) == {i for i in got if got[i] <= got[0]}
 
 
 def line(aspect, score, reason="r"):
