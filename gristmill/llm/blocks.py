@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that are turned into arrays at a time; one longer text is taken alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: A table that is joined by id is broadcast up to this size.
 MAX_BROADCAST_BYTES = 64 << 20
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.blocks import RangeHash, mix, pieces, utf8
+from gristmill.llm.blocks import BLOCK_BYTES, RangeHash, mix, pieces, utf8
 
 #: Bytes that a window and its item share somewhere; an item below twice that must occur verbatim.
 SEED = 12
@@ -29,6 +29,8 @@ ITEM_BYTES = 8 << 20
 #: Sampled places of a bucket key; walks (independent embeddings); most tables of a walk.
 PLACES, WALKS, TABLES = 4, 3, 128
 TARGET = 0.99
+#: Bytes of text whose windows are walked together.
+WALKED_BYTES = 4 << 20
 #: Length of the strings counted before a pair is verified.
 GRAM = 4
 
@@ -127,7 +129,7 @@ class Items:
         while some < len(order):
             # Ranges of about the same size are walked together.
             most = max(int(sized_as[order[some]]) * 5 // 4, 1)
-            end = min(int(np.searchsorted(sized_as[order], most, "right")), some + max(1, min((32 << 20) // (2 * most), (4 << 20) // self.tables)))
+            end = min(int(np.searchsorted(sized_as[order], most, "right")), some + max(1, min((32 << 20) // (2 * most), (1 << 20) // self.tables)))
             rows = order[some:max(end, some + 1)]
             some += len(rows)
             walked = embed(data, start[rows], size[rows], walk)
@@ -227,10 +229,14 @@ class Items:
         none = np.zeros(0, np.int64)
         if n <= 0 or not len(self.seed):
             return none, none, none
-        at = np.arange(n)
-        values = RangeHash(data).of(at, at + SEED)
-        at = np.flatnonzero(self.sieve[(values >> np.uint64(42)).astype(np.int64)])
-        values = values[at]
+        places, hashes = [], []
+        for first in range(0, n, BLOCK_BYTES):
+            at = np.arange(min(BLOCK_BYTES, n - first))
+            values = RangeHash(data[first:first + len(at) + SEED - 1]).of(at, at + SEED)
+            at = np.flatnonzero(self.sieve[(values >> np.uint64(42)).astype(np.int64)])
+            places.append(at + first)
+            hashes.append(values[at])
+        at, values = np.concatenate(places), np.concatenate(hashes)
         row = np.searchsorted(offsets, at, "right") - 1
         inside = at + SEED <= offsets[row + 1]
         at, values, row = at[inside], values[inside], row[inside]
@@ -252,7 +258,7 @@ class _Find:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, 1):
+            for part in pieces(batch, 1, WALKED_BYTES):
                 found = self.items.find(*utf8(part.column(1)))
                 rows, items, distances, ends = (list(c) for c in zip(*found)) if found else ([], [], [], [])
                 yield pa.RecordBatch.from_arrays(
@@ -269,7 +275,7 @@ class _Clean:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, self.text):
+            for part in pieces(batch, self.text, WALKED_BYTES):
                 keep = np.ones(part.num_rows, bool)
                 keep[[f[0] for f in self.items.find(*utf8(part.column(self.text)))]] = False
                 yield part.filter(pa.array(keep))
