@@ -33,9 +33,9 @@ from gristmill.staging import stage
 #: Bytes turned into identifiers at a time.
 BLOCK = 512 << 10
 #: Identifiers sorted by one task, about.
-RANGE = 2_000_000
+RANGE = 1_000_000
 #: Identifiers of a chunk, about.
-CHUNK = 1_000_000
+CHUNK = 500_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 

@@ -34,7 +34,7 @@ SHARD_IDS = 1 << 23
 #: One in so many set bits has its position stored.
 SELECT_STEP = 128
 #: Different word pieces whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Fixed value: the pre-tokens of byte-level tokenizers.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters that libraries disagree on as white space.
