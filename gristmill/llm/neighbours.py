@@ -29,7 +29,7 @@ NEIGHBOURS, REVERSE = 32, 12
 #: Best nodes that a member takes from one comparison, in a leaf and in a round.
 LEAF_KEPT, KEPT = 20, 10
 #: Trees, vectors they are fitted on, and nodes in a leaf at most.
-TREES, TREE_SAMPLE, LEAF = 10, 20_000, 1000
+TREES, TREE_SAMPLE, LEAF = 10, 20_000, 4000
 #: Rounds of NN-descent at most; it ends when fewer than this share of neighbours change.
 ROUNDS, SETTLED = 3, 0.05
 #: Nodes in the pool of a query, and how many are expanded in a step.
@@ -144,7 +144,7 @@ def _tables(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([join(0, np.int64), *lists_], ["_node", "_ids", "_scores"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], most: int = 64 * LEAF) -> Iterator[list[tuple]]:
+def _groups(batches: Iterator[pa.RecordBatch], most: int = 4 * LEAF) -> Iterator[list[tuple]]:
     """Rows of each group, which are next to each other; ``most`` at a time of a larger one."""
     rows: list[tuple] = []
     for batch in batches:
