@@ -2,7 +2,8 @@
 
 1. Equal vectors are one node; a node keeps only as many of its ids as a result can need.
 2. A first graph comes from a few random-projection trees, fitted on a bounded sample:
-   nodes of a leaf are compared with each other.
+   nodes of a leaf are compared with each other. A leaf that is still too large is cut
+   further along directions of its tree, at the medians of all its nodes.
 3. NN-descent: in each round every node brings its neighbours and a sample of the nodes
    that have it as a neighbour together; those are compared with each other, and each
    keeps its best. A neighbour of a neighbour is so found by joins.
@@ -100,6 +101,52 @@ class _Leaves:
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), batch.column(0), batch.column(1)], ["_group", "_node", "_vec"])
 
 
+class _Project:
+    """mapInArrow over (group, node, vector): the node's place along its tree's direction of a level."""
+
+    def __init__(self, level: int, kind: str):
+        self.level, self.kind = level, kind
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _matrix(batch.column(2).to_pylist(), self.kind)
+            tree = batch.column(0).to_numpy() >> 40
+            value = np.empty(len(x))
+            for t in np.unique(tree):
+                mine = tree == t
+                value[mine] = x[mine] @ np.random.default_rng([int(t), self.level]).normal(size=x.shape[1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(value)], ["_group", "_node", "_value"])
+
+
+def _split(leaves: DataFrame, nodes: DataFrame, depth: int, kind: str) -> DataFrame:
+    """``leaves`` (``_group, _node, _vec``), none of them above ``LEAF`` nodes.
+
+    Larger ones are halved level by level. Each tree has directions of its own, so nodes
+    that are parted in one tree meet in another. Equal places are dealt by tree and level.
+    """
+    open_, done, level = leaves, None, depth
+    while True:
+        sizes = stage(open_.groupBy("_group").agg(F.count("*").alias("_weight")), "leaf-sizes")
+        large = sizes.filter(F.col("_weight") > LEAF)
+        if large.isEmpty():
+            return open_ if done is None else done.unionByName(open_)
+        fit = open_.join(large.select("_group"), "_group", "left_anti").select("_group", "_node", "_vec")
+        done = fit if done is None else done.unionByName(fit)
+        valued = stage(join_groups(open_, large, ["_group"], "_weight", ["_node"]).select("_group", "_node", "_vec").mapInArrow(
+            _Project(level, kind), "_group long, _node long, _value double"), "values")
+        cuts = valued.groupBy("_group").agg(F.percentile_approx("_value", 0.5).alias("_cut"), F.count("*").alias("_weight"))
+        tree = F.shiftright("_group", 40)
+        tied = (F.col("_value") == F.col("_cut")) & (F.pmod(F.xxhash64("_node", tree, F.lit(level)), F.lit(2)) == 1)
+        right = ((F.col("_value") > F.col("_cut")) | tied).cast("long")
+        at = 2 * (F.col("_group") - F.shiftleft(tree, 40)) + right
+        halves = join_groups(valued, cuts, ["_group"], "_weight", ["_node"]).select(
+            (F.shiftleft(tree, 40) + at).alias("_group"), "_node")
+        open_ = stage(halves, "leaves").join(nodes.select("_node", "_vec"), "_node")
+        level += 1
+
+
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k largest scores, ties to the smaller id."""
     if len(scores) > 4 * k:
@@ -110,10 +157,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 class _Compare:
-    """mapInArrow over (group, node, vector) by group: each member's best in its group.
-
-    A group above ``LEAF`` members is compared in parts of that size.
-    """
+    """mapInArrow over (group, node, vector) by group: each member's best in its group."""
 
     def __init__(self, kept: int, kind: str):
         self.kept, self.kind = kept, kind
@@ -121,15 +165,13 @@ class _Compare:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rows in _groups(batches):
-            for k in range(0, len(rows), LEAF):
-                part = rows[k:k + LEAF]
-                ids, x = np.array([r[1] for r in part]), _matrix([r[2] for r in part], self.kind)
-                scores = x @ x.T
-                np.fill_diagonal(scores, -np.inf)
-                kept = min(self.kept, len(ids) - 1)
-                top = np.argpartition(-scores, kept - 1, axis=1)[:, :kept] if kept else np.zeros((len(ids), 0), int)
-                held.append((ids, ids[top], np.take_along_axis(scores, top, axis=1)))
-                size += top.size
+            ids, x = np.array([r[1] for r in rows]), _matrix([r[2] for r in rows], self.kind)
+            scores = x @ x.T
+            np.fill_diagonal(scores, -np.inf)
+            kept = min(self.kept, len(ids) - 1)
+            top = np.argpartition(-scores, kept - 1, axis=1)[:, :kept] if kept else np.zeros((len(ids), 0), int)
+            held.append((ids, ids[top], np.take_along_axis(scores, top, axis=1)))
+            size += top.size
             if size > 200_000:
                 yield _tables(held)
                 held, size = [], 0
@@ -144,7 +186,7 @@ def _tables(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([join(0, np.int64), *lists_], ["_node", "_ids", "_scores"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], most: int = 4 * LEAF) -> Iterator[list[tuple]]:
+def _groups(batches: Iterator[pa.RecordBatch], most: int = 1 << 60) -> Iterator[list[tuple]]:
     """Rows of each group, which are next to each other; ``most`` at a time of a larger one."""
     rows: list[tuple] = []
     for batch in batches:
@@ -204,12 +246,11 @@ def build_graph(nodes: DataFrame, kind: str) -> DataFrame:
         depth = 0
     dims = len(sample["_vec"].iloc[0]) // np.dtype(kind).itemsize if len(sample) else 1
     x = _matrix(list(sample.sort_values("_node")["_vec"]), kind) if len(sample) else np.zeros((0, 1), kind)
-    # A leaf of the sample has about 20 vectors at least; larger leaves are compared in parts.
+    # A leaf of the sample has about 20 vectors at least; larger leaves are split on all nodes.
     trees = _Trees(x, min(depth, max(0, int(np.log2(max(1, len(x)) / 20)))), dims)
     leaves = nodes.select("_node", "_vec").mapInArrow(_Leaves(trees, kind), "_group long, _node long, _vec binary")
-    order = [F.col("_group"), F.xxhash64("_node")]
-    part = F.pmod(F.xxhash64("_node"), F.lit(max(1, n // (1 << max(0, trees.depth)) // (4 * LEAF))))
-    dealt = leaves.repartition("_group", part).sortWithinPartitions(*order)
+    leaves = _split(leaves, nodes, trees.depth, kind)
+    dealt = leaves.repartition("_group").sortWithinPartitions("_group")
     graph = stage(_merged(dealt.mapInArrow(_Compare(LEAF_KEPT, kind), _LISTS)), "graph")
     if n <= LEAF_KEPT + 1:
         return graph
@@ -246,7 +287,7 @@ class _Step:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
-        for rows in _groups(batches, 1 << 60):
+        for rows in _groups(batches):
             query, _, own, ids, scores, done, _, _ = rows[0]
             known = set(ids)
             new = [(r[6], r[7]) for r in rows[1:] if r[6] not in known]

@@ -189,6 +189,44 @@ def test_neighbours_awkward(spark):
     assert neighbours.nearest(frame.filter("false"), asked).count() == 0
 
 
+def neighbours_recall(spark, x):
+    """Share of the true 20 nearest that 100 queries get."""
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in neighbours.nearest(frame, frame.filter(f"vec_id % {len(x) // 100} = 0").select("vec_id")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for i, mine in found.items():
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        hits.append(len(set(np.argsort(-scores)[:20].tolist()) & mine) / 20)
+    return np.mean(hits)
+
+
+def unit_vectors(n, centres, noise, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(centres, 64))[rng.integers(centres, size=n)] + noise * rng.normal(size=(n, 64))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def test_leaves_above_the_bound_are_split_differently_in_each_tree(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF", 100)
+    x = unit_vectors(3000, 1, 0.1, 3)
+    nodes = neighbours.stage(spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "_node long, _vec binary"), "nodes")
+    trees = neighbours._Trees(x[:40], 1, 64)
+    leaves = nodes.mapInArrow(neighbours._Leaves(trees, "<f4"), "_group long, _node long, _vec binary")
+    rows = neighbours._split(leaves, nodes, 1, "<f4").select("_group", "_node").collect()
+    groups, pairs = {}, {}
+    for r in rows:
+        groups.setdefault(r._group, []).append(r._node)
+    assert max(map(len, groups.values())) <= 100 and len(rows) == 3000 * neighbours.TREES
+    assert len({(r._group >> 40, r._node) for r in rows}) == len(rows)
+    for g, members in groups.items():
+        if 0 in members:
+            pairs[g >> 40] = set(members) - {0}
+    assert len(pairs) == neighbours.TREES and len(set.union(*pairs.values())) > 3 * max(map(len, pairs.values()))
+
+
 # Decontamination
 
 def test_edit_distance_is_exact():
