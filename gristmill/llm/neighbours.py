@@ -6,7 +6,8 @@
    further along directions of its tree, at the medians of all its nodes.
 3. NN-descent: in each round every node brings its neighbours and a sample of the nodes
    that have it as a neighbour together; those are compared with each other, and each
-   keeps its best. A neighbour of a neighbour is so found by joins.
+   keeps its best. A neighbour of a neighbour is so found by joins. Rounds go on until
+   few neighbours change.
 4. A query walks the graph greedily: its pool of best nodes is expanded a few at a time,
    by joining them to their neighbours, until all of the pool have been expanded.
 
@@ -26,15 +27,15 @@ from gristmill.operators.skew import join_groups
 from gristmill.staging import stage
 
 #: Neighbours of a node in the graph; at most so many of the nodes that point to it take part.
-NEIGHBOURS, REVERSE = 32, 12
+NEIGHBOURS, REVERSE = 48, 24
 #: Best nodes that a member takes from one comparison, in a leaf and in a round.
-LEAF_KEPT, KEPT = 20, 10
+LEAF_KEPT, KEPT = 20, 16
 #: Trees, vectors they are fitted on, and nodes in a leaf at most.
-TREES, TREE_SAMPLE, LEAF = 10, 20_000, 4000
-#: Rounds of NN-descent at most; it ends when fewer than this share of neighbours change.
-ROUNDS, SETTLED = 3, 0.05
+TREES, TREE_SAMPLE, LEAF = 10, 20_000, 1000
+#: NN-descent ends when fewer than this share of neighbours change.
+SETTLED = 0.02
 #: Nodes in the pool of a query, and how many are expanded in a step.
-POOL, EXPANDED, STEPS = 48, 16, 24
+POOL, EXPANDED, STEPS = 80, 16, 24
 
 
 class _Pack:
@@ -254,7 +255,8 @@ def build_graph(nodes: DataFrame, kind: str) -> DataFrame:
     graph = stage(_merged(dealt.mapInArrow(_Compare(LEAF_KEPT, kind), _LISTS)), "graph")
     if n <= LEAF_KEPT + 1:
         return graph
-    for turn in range(ROUNDS):
+    # Neighbours only get better, so rounds end; log n of them are enough for most tables.
+    for turn in range(2 * int(np.ceil(np.log2(n)))):
         edges = graph.select("_node", F.explode("_ids").alias("_to"))
         order = Window.partitionBy("_to").orderBy(F.xxhash64("_node", F.lit(turn)), "_node")
         back = edges.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= REVERSE)
@@ -345,7 +347,8 @@ def nearest(
     number of components.
 
     Every vector is in the graph; the trees are fitted on ``TREE_SAMPLE`` vectors, the
-    search is not exhaustive, and its recall is measured in the tests.
+    search is not exhaustive, and its recall is measured in the tests on tables many
+    times larger than a leaf.
     """
     single = dict(embeddings.dtypes)[vector_col] == "array<float>"
     kind = "<f4" if single else "<f8"

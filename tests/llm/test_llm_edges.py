@@ -227,6 +227,13 @@ def test_leaves_above_the_bound_are_split_differently_in_each_tree(spark, monkey
     assert len(pairs) == neighbours.TREES and len(set.union(*pairs.values())) > 3 * max(map(len, pairs.values()))
 
 
+@pytest.mark.parametrize("n", [2000, 6000])
+def test_neighbours_recall_on_tables_many_times_a_leaf(spark, monkeypatch, n):
+    monkeypatch.setattr(neighbours, "LEAF", 100)
+    monkeypatch.setattr(neighbours, "TREE_SAMPLE", 400)
+    assert neighbours_recall(spark, unit_vectors(n, n // 1000, 1.0, 4)) >= 0.9
+
+
 # Decontamination
 
 def test_edit_distance_is_exact():
