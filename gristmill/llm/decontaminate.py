@@ -1,13 +1,12 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
+"""Benchmark decontamination: pigeonhole seeds, gram counts, exact edit verification.
 
 A document holds an item when one of its substrings is within ``percent`` % of the item's
-length in edit distance (bytes; A-Z and Latin-1 letters lower-cased, white space as blanks). Windows of an
-item's size are laid wherever a document shares ``SEED`` bytes with the item. Each window
-is embedded by the random walk of Chakraborty, Goldenberg and Koucky, which turns a small
-edit distance into a small Hamming distance; a few sampled places of the embedding are a
-bucket, and windows look up items in many such tables. The number of tables is raised
-until items with the permitted number of random edits are found with the target recall.
-Pairs that meet in a bucket are verified exactly.
+length in edit distance (bytes; A-Z and Latin-1 letters lower-cased, white space as blanks). An item
+with ``e`` permitted edits is cut into ``e + h`` pieces; edits spoil at most ``e`` of
+them, so ``h`` pieces at least stand unchanged in every such substring, within ``e`` places
+of where they would without edits. Windows are laid wherever a document has that many. An edit also spoils at most ``GRAM`` of the item's grams,
+so windows with too few of them leave. The rest is verified exactly: nothing is missed,
+whatever the edits and however short the item.
 """
 
 from __future__ import annotations
@@ -20,19 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.blocks import BLOCK_BYTES, RangeHash, mix, pieces, utf8
+from gristmill.llm.blocks import mix, pieces, utf8
 
-#: Bytes that a window and its item share somewhere; an item below twice that must occur verbatim.
-SEED = 12
+#: Bytes of a piece at most; pieces are so long that about HITS of them stay whole, or one if the item is short.
+SEED, HITS = 8, 8
 #: Items sent to the tasks at a time, in bytes; a larger benchmark is taken in several passes.
 ITEM_BYTES = 8 << 20
-#: Sampled places of a bucket key; walks (independent embeddings); most tables of a walk.
-PLACES, WALKS, TABLES = 4, 3, 128
-TARGET = 0.99
-#: Bytes of text whose windows are walked together.
-WALKED_BYTES = 4 << 20
-#: Length of the strings counted before a pair is verified.
-GRAM = 4
+#: Bytes of text searched together, and of windows whose grams are counted together.
+SEARCHED_BYTES, COUNTED_BYTES = 4 << 20, 1 << 20
+#: Length of the strings counted before a pair is verified, and bits of their hashes.
+GRAM, GRAM_BITS = 4, 12
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -48,29 +44,19 @@ def fold(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def embed(data: np.ndarray, start: np.ndarray, size: np.ndarray, walk: int) -> np.ndarray:
-    """Embeddings of byte ranges, one column each, of twice the largest size; past the end, 0.
-
-    A pointer walks along each text: a step copies the byte under it and moves on or stays
-    by a coin that depends on the walk, the step and that byte. After twice the size most
-    walks have ended, so the last third of the full embedding is left out.
-    """
-    width = int(size.max(initial=0)) + 1
-    inside = np.arange(width) < size[:, None]
-    from_ = np.minimum(start[:, None] + np.arange(width), max(0, len(data) - 1))
-    flat = np.where(inside, data[from_] if len(data) else 0, 0).astype(np.uint8).ravel()
-    steps = 2 * (width - 1)
-    coins = (mix(np.arange(steps * 256, dtype=np.uint64) + np.uint64(walk << 40)) >> np.uint64(63)).astype(np.int64)
-    coins = coins.reshape(steps, 256)
-    coins[:, 0] = 0
-    out = np.zeros((steps, len(start)), np.uint8)
-    at = np.arange(len(start)) * width
-    for j in range(steps):
-        out[j] = flat[at]
-        at += coins[j][out[j]]
+def codes(data: np.ndarray, length: int) -> np.ndarray:
+    """The ``length`` bytes (8 at most) from each place on, as one integer."""
+    n = max(0, len(data) - length + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(length):
+        out = (out << np.uint64(8)) | data[k:k + n]
     return out
 
 
+def gram_codes(data: np.ndarray) -> np.ndarray:
+    return (mix(codes(data, GRAM)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+
+
 def edit_end(item: bytes, text: bytes) -> tuple[int, int]:
     """Least distance of the item to a substring of the text and where it ends (bit-parallel)."""
     masks: dict[int, int] = defaultdict(int)
@@ -92,126 +78,70 @@ def edit_end(item: bytes, text: bytes) -> tuple[int, int]:
 
 
 class Items:
-    """Items of one pass: seeds, and bucket keys of each walk and table."""
+    """Items of one pass: their pieces by length, and hashed grams of each as bits."""
 
-    def __init__(self, ids: list[int], texts: list[str], percent: int, target: float):
+    def __init__(self, ids: list[int], texts: list[str], percent: int):
         kept = [(i, fold(np.frombuffer(t.encode(), np.uint8))) for i, t in zip(ids, texts) if t and t.strip()]
         self.ids = [i for i, _ in kept]
         self.percent = percent
         self.bytes = [x.tobytes() for _, x in kept]
         self.size = np.array([len(x) for x in self.bytes], np.int64)
-        self.short = np.flatnonzero(self.size < 2 * SEED)
-        data = np.concatenate([x for _, x in kept]) if kept else np.zeros(0, np.uint8)
-        start = np.cumsum(self.size) - self.size
-        seeds = np.where(self.size >= 2 * SEED, self.size - SEED + 1, 0)
-        item = np.repeat(np.arange(len(kept)), seeds)
-        offset = np.arange(len(item)) - np.repeat(np.cumsum(seeds) - seeds, seeds)
-        values = RangeHash(data).of(start[item] + offset, start[item] + offset + SEED)
-        order = np.argsort(values, kind="stable")
-        self.seed, self.seed_item, self.seed_offset = values[order], item[order], offset[order]
-        self.sieve = np.zeros(1 << 22, bool)
-        self.sieve[(self.seed >> np.uint64(42)).astype(np.int64)] = True
         self.grams = [[x[k:k + GRAM] for k in range(len(x) - GRAM + 1)] for x in self.bytes]
-        self.tables = self._tables(data, start, target)
-        self.keys = []
-        for walk in range(WALKS):
-            keys = self._keys(data, start, self.size, self.size, walk)
-            self.keys.append([(np.sort(k), np.argsort(k, kind="stable")) for k in keys])
+        self.bits = np.zeros((len(kept), 1 << GRAM_BITS >> 3), np.uint8)
+        self.hits = np.ones(len(kept), np.int64)
+        held: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for item, (_, x) in enumerate(kept):
+            at = gram_codes(x)
+            np.bitwise_or.at(self.bits[item], at >> 3, (1 << (at & 7)).astype(np.uint8))
+            most = int(self.edits(item))
+            length = min(max(len(x) // (most + HITS), 5), len(x) // (most + 1), SEED)
+            self.hits[item] = len(x) // length - most
+            for offset in range(0, len(x) - length + 1, length):
+                held[length].append((int.from_bytes(x[offset:offset + length].tobytes(), "big"), item, offset))
+        self.pieces = []
+        for length, rows in sorted(held.items()):
+            rows.sort()
+            value = np.array([r[0] for r in rows], np.uint64)
+            sieve = np.zeros(1 << 22, bool)
+            sieve[(mix(value) >> np.uint64(42)).astype(np.int64)] = True
+            self.pieces.append((length, value, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), sieve))
 
     def edits(self, item):
         return self.size[item] * self.percent // 100
 
-    def _keys(self, data, start, size, sized_as, walk) -> np.ndarray:
-        """Bucket keys, one row per table; places are drawn from twice ``sized_as``."""
-        out = np.zeros((self.tables, len(start)), np.uint64)
-        order = np.argsort(sized_as, kind="stable")
-        some = 0
-        while some < len(order):
-            # Ranges of about the same size are walked together.
-            most = max(int(sized_as[order[some]]) * 5 // 4, 1)
-            end = min(int(np.searchsorted(sized_as[order], most, "right")), some + max(1, min((32 << 20) // (2 * most), (1 << 20) // self.tables)))
-            rows = order[some:max(end, some + 1)]
-            some += len(rows)
-            walked = embed(data, start[rows], size[rows], walk)
-            out[:, rows] = self._buckets(walked, sized_as[rows].astype(np.uint64), walk)
-        return out
-
-    def _buckets(self, walked: np.ndarray, length: np.ndarray, walk: int) -> np.ndarray:
-        draw = mix(np.arange(self.tables * PLACES, dtype=np.uint64) + np.uint64((walk << 32) + 1))
-        key = np.broadcast_to(length, (self.tables, len(length))).copy()
-        for k in range(PLACES):
-            place = (draw[k::PLACES, None] % (np.uint64(2) * length)).astype(np.int64)
-            byte = walked[np.minimum(place, len(walked) - 1), np.arange(len(length))]
-            key *= np.uint64(257)
-            key += np.where(place < len(walked), byte, 0).astype(np.uint64) + np.uint64(1)
-        return mix(key)
-
-    def _tables(self, data: np.ndarray, start: np.ndarray, target: float) -> int:
-        """Tables per walk at which items with random edits, as many as permitted, are found."""
-        self.tables = TABLES
-        tried = np.flatnonzero(self.size >= 2 * SEED)[:200]
-        if not len(tried):
-            return 1
-        rng, changed = np.random.default_rng(8), []
-        for i in tried:
-            x = bytearray(self.bytes[i])
-            for _ in range(int(self.edits(i))):
-                at, what, byte = int(rng.integers(len(x))), rng.integers(3), int(rng.integers(97, 123))
-                if what == 0:
-                    x[at] = byte
-                elif what == 1:
-                    x.insert(at, byte)
-                else:
-                    del x[at]
-            changed.append(np.frombuffer(bytes(x), np.uint8))
-        sizes = np.array([len(x) for x in changed], np.int64)
-        other, begin = np.concatenate(changed), np.cumsum(sizes) - sizes
-        met = np.zeros((TABLES, len(tried)), bool)
-        for walk in range(WALKS):
-            mine = self._keys(data, start[tried], self.size[tried], self.size[tried], walk)
-            theirs = self._keys(other, begin, sizes, self.size[tried], walk)
-            met |= np.array([a == b for a, b in zip(mine, theirs)])
-        recall = np.logical_or.accumulate(met, axis=0).mean(axis=1)
-        enough = np.flatnonzero(recall >= target)
-        return int(enough[0]) + 1 if len(enough) else TABLES
-
     def find(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
         """``(row, item, distance, end)`` of all items that the texts hold."""
         data = fold(data)
         found: dict[tuple[int, int], tuple[int, int]] = {}
         raw = data.tobytes()
-        for item in self.short.tolist():
-            at = raw.find(self.bytes[item])
-            while at >= 0:
-                row = int(np.searchsorted(offsets, at, "right")) - 1
-                end = at + int(self.size[item])
-                if end <= offsets[row + 1]:
-                    found.setdefault((row, item), (0, end - int(offsets[row])))
-                at = raw.find(self.bytes[item], at + 1)
-        row, item, start = self._windows(data, offsets)
-        if len(row):
-            left, right = np.maximum(start, offsets[row]), np.minimum(start + self.size[item], offsets[row + 1])
-            size = np.maximum(right - left, 0)
-            met = np.zeros(len(row), bool)
-            for walk in range(WALKS):
-                keys = self._keys(data, left, size, self.size[item], walk)
-                for (held, which), key in zip(self.keys[walk], keys):
-                    lo, hi = np.searchsorted(held, key, "left"), np.searchsorted(held, key, "right")
-                    for k in range(int((hi - lo).max(initial=0))):
-                        open_ = lo + k < hi
-                        met[open_] |= which[(lo + k)[open_]] == item[open_]
-            for k in np.flatnonzero(met).tolist():
-                pair = (int(row[k]), int(item[k]))
-                if pair in found and found[pair][0] == 0:
-                    continue
-                most = int(self.edits(item[k]))
-                begin = max(int(start[k]) - most - 8, int(offsets[row[k]]))
-                stop = min(int(start[k] + self.size[item[k]]) + most + 8, int(offsets[row[k] + 1]))
-                distance, end = self._verify(int(item[k]), raw[begin:stop], most)
-                if distance <= most and (pair not in found or distance < found[pair][0]):
-                    found[pair] = (distance, begin + end - int(offsets[row[k]]))
+        row, item, left, right = self._windows(data, offsets)
+        for k in np.flatnonzero(self._enough(data, item, left, right)).tolist():
+            pair = (int(row[k]), int(item[k]))
+            if pair in found and found[pair][0] == 0:
+                continue
+            most = int(self.edits(item[k]))
+            distance, end = self._verify(int(item[k]), raw[left[k]:right[k]], most)
+            if distance <= most and (pair not in found or distance < found[pair][0]):
+                found[pair] = (distance, int(left[k]) + end - int(offsets[row[k]]))
         return [(r, i, d, e) for (r, i), (d, e) in sorted(found.items())]
 
+    def _enough(self, data, item, left, right) -> np.ndarray:
+        """Which windows have as many grams of their item as permitted edits leave."""
+        need = self.size[item] - GRAM + 1 - GRAM * self.edits(item)
+        grams, length = gram_codes(data), np.maximum(right - left - GRAM + 1, 0)
+        out = need <= 0
+        some = np.flatnonzero(~out & (length >= need))
+        ends = np.cumsum(length[some])
+        for part in np.split(some, np.searchsorted(ends, np.arange(COUNTED_BYTES, ends[-1] if len(ends) else 0, COUNTED_BYTES))):
+            if not len(part):
+                continue
+            size = length[part]
+            first = np.cumsum(size) - size
+            code = grams[np.arange(size.sum()) + np.repeat(left[part] - first, size)]
+            has = (self.bits[np.repeat(item[part], size), code >> 3] >> (code & 7)) & 1
+            out[part] = np.add.reduceat(has, first, dtype=np.int64) >= need[part]
+        return out
+
     def _verify(self, item: int, text: bytes, most: int) -> tuple[int, int]:
         x = self.bytes[item]
         at = text.find(x)
@@ -224,30 +154,42 @@ class Items:
         return edit_end(x, text)
 
     def _windows(self, data, offsets):
-        """Rows, items and starts of windows, one for each item and stretch of 8 starts."""
-        n = len(data) - SEED + 1
-        none = np.zeros(0, np.int64)
-        if n <= 0 or not len(self.seed):
-            return none, none, none
-        places, hashes = [], []
-        for first in range(0, n, BLOCK_BYTES):
-            at = np.arange(min(BLOCK_BYTES, n - first))
-            values = RangeHash(data[first:first + len(at) + SEED - 1]).of(at, at + SEED)
-            at = np.flatnonzero(self.sieve[(values >> np.uint64(42)).astype(np.int64)])
-            places.append(at + first)
-            hashes.append(values[at])
-        at, values = np.concatenate(places), np.concatenate(hashes)
-        row = np.searchsorted(offsets, at, "right") - 1
-        inside = at + SEED <= offsets[row + 1]
-        at, values, row = at[inside], values[inside], row[inside]
-        lo, hi = np.searchsorted(self.seed, values, "left"), np.searchsorted(self.seed, values, "right")
-        times = hi - lo
-        which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo, times)
-        row, item = np.repeat(row, times), self.seed_item[which]
-        start = np.repeat(at, times) - self.seed_offset[which]
-        code = np.stack([row, item, start >> 3], axis=1)
-        _, first = np.unique(code, axis=0, return_index=True)
-        return row[first], item[first], start[first]
+        """Rows, items and bounds of windows that have enough pieces of the item.
+
+        The starts that pieces of one substring say lie within twice the permitted edits.
+        Hits are counted in stretches of more starts than that, two neighbours together.
+        """
+        reach, count = int(self.size.max(initial=0)), max(1, len(self.ids))
+        places = len(data) + 3 * reach + 24
+        width = np.maximum(2 * self.edits(np.arange(len(self.ids))) + 1, 8)
+        seen = [np.zeros(0, np.int64)]
+        for length, value, items, offset, sieve in self.pieces:
+            text = codes(data, length)
+            at = np.flatnonzero(sieve[(mix(text) >> np.uint64(42)).astype(np.int64)])
+            lo, hi = np.searchsorted(value, text[at], "left"), np.searchsorted(value, text[at], "right")
+            row = np.searchsorted(offsets, at, "right") - 1
+            times = np.where(at + length <= offsets[row + 1], hi - lo, 0)
+            which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo, times)
+            item = items[which]
+            stretch = (np.repeat(at, times) - offset[which] + reach) // width[item]
+            seen.append((np.repeat(row, times) * count + item) * places + stretch)
+        code, hits = np.unique(np.concatenate(seen), return_counts=True)
+        item = code // places % count
+        # Of two stretches that have enough together, both are in the window; a run is one window.
+        after = np.zeros(len(code), np.int64)
+        after[:-1] = np.where(code[1:] == code[:-1] + 1, hits[1:], 0)
+        before = np.zeros(len(code), np.int64)
+        before[1:] = np.where(code[:-1] == code[1:] - 1, hits[:-1], 0)
+        first, second = hits + after >= self.hits[item], hits + before >= self.hits[item]
+        code, item = code[first | second], item[first | second]
+        new = np.diff(code, prepend=-2) > 1
+        begin, last = code[new], code[np.append(new[1:], True)[:len(code)]]
+        item = item[new]
+        row, most = begin // places // count, self.edits(item)
+        start, end = (c % places * width[item] - reach for c in (begin, last))
+        # A substring begins and ends within the permitted edits of where its piece says.
+        return row, item, np.maximum(start - most, offsets[row]), np.minimum(
+            end + width[item] - 1 + self.size[item] + most, offsets[row + 1])
 
 
 class _Find:
@@ -258,7 +200,7 @@ class _Find:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, 1, WALKED_BYTES):
+            for part in pieces(batch, 1, SEARCHED_BYTES):
                 found = self.items.find(*utf8(part.column(1)))
                 rows, items, distances, ends = (list(c) for c in zip(*found)) if found else ([], [], [], [])
                 yield pa.RecordBatch.from_arrays(
@@ -275,14 +217,14 @@ class _Clean:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, self.text, WALKED_BYTES):
+            for part in pieces(batch, self.text, SEARCHED_BYTES):
                 keep = np.ones(part.num_rows, bool)
                 keep[[f[0] for f in self.items.find(*utf8(part.column(self.text)))]] = False
                 yield part.filter(pa.array(keep))
 
 
 def load_items(
-    benchmark: DataFrame, percent: int = 15, target: float = TARGET, item_id: str = "item_id", item_text: str = "text"
+    benchmark: DataFrame, percent: int = 15, item_id: str = "item_id", item_text: str = "text"
 ) -> list[Items]:
     """The benchmark in passes of about ``ITEM_BYTES``; null, blank and repeated items are left out."""
     rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
@@ -292,7 +234,7 @@ def load_items(
     out = []
     for k in range(passes):
         some = sorted(rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect())
-        out.append(Items([r[0] for r in some], [r[1] for r in some], percent, target))
+        out.append(Items([r[0] for r in some], [r[1] for r in some], percent))
     return out
 
 

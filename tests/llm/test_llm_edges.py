@@ -276,6 +276,26 @@ def test_edited_items_are_found_and_clean_texts_are_not(spark, awkward, empty):
     assert decontaminate.find_items(docs, none).count() == 0
 
 
+@pytest.mark.parametrize("size", [7, 13, 14, 20, 24, 30, 50, 100, 300])
+def test_all_edits_at_the_limit_are_found(size):
+    rng = np.random.default_rng(size)
+    letters = lambda n: bytes(rng.integers(97, 123, n, np.uint8))
+    texts = [letters(size) for _ in range(20)]
+    items, most = decontaminate.Items(list(range(20)), [t.decode() for t in texts], 15), size * 15 // 100
+    rows = []
+    for text in texts:
+        even, mixed = bytearray(text), bytearray(text)
+        for k in range(most):
+            even[(2 * k + 1) * size // (2 * most)] = 35
+            at = int(rng.integers(len(mixed)))
+            mixed[at:at + int(rng.integers(2))] = b"#" * int(rng.integers(2))
+        rows += [letters(50) + bytes(even) + letters(50), bytes(even), letters(50) + bytes(mixed) + letters(50)]
+    offsets = np.cumsum([0] + [len(r) for r in rows])
+    found = {(r, i): d for r, i, d, _ in items.find(np.frombuffer(b"".join(rows), np.uint8), offsets)}
+    assert all(found.get((k, k // 3), size) <= most for k in range(len(rows)))
+    assert all(d == decontaminate.edit_end(texts[i], rows[r])[0] for (r, i), d in found.items())
+
+
 # Lines
 
 def test_lines_awkward(spark, awkward, empty):
