@@ -5,8 +5,8 @@ same first ``h`` lines are one bucket, an interval of the suffix array in which
 prefixes have ``h`` lines or more. A round pairs the bucket of a line with the bucket of
 the line ``h`` further on and so doubles the depth; suffixes that are alone in their
 bucket are finished and leave. At the depth asked for, all but the first suffix of an
-interval begin a run of lines that has come before. Overlapping runs join to maximal ones,
-which are deleted.
+interval begin a run of lines that has come before. Runs that overlap or touch, also of
+different origin, are deleted as one. Depths beyond the one asked for are not computed.
 """
 
 from __future__ import annotations
