@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import byte_cnn, chat, decontaminate, jaccard, lines, mixing, neighbours, quality, repeats, token_file
+from gristmill.llm import (
+    byte_cnn, chat, decontaminate, jaccard, lines, mixing, neighbours, quality, ranked, repeats, resampling, rules, token_file,
+)
 from gristmill.staging import stage
 
 
@@ -89,6 +91,20 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.rank_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    forest = rules.train_rules(docs, _table(spark, folder, "labels"))
+    return rules.apply_rules(docs, forest).drop("path")
+
+
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op7_neighbours": (op7_neighbours, None),
     "op10_line_dedup": (op10_line_dedup, lines.lines_sql()),
@@ -102,4 +118,7 @@ QUERIES = {
     "op6_quality": (op6_quality, None),
     "op4_repeats": (op4_repeats, None),
     "op5_mixing": (op5_mixing, mixing.mixing_sql()),
+    "op11_ranked_search": (op11_ranked_search, ranked.ranked_sql()),
+    "op12_quality_rules": (op12_quality_rules, None),
+    "op13_resampling": (op13_resampling, resampling.resample_sql()),
 }
