@@ -17,7 +17,10 @@ from gristmill.staging import stage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality classifier rejects (score below 0.5)."""
+    """Drops the documents that the quality classifier rejects (score below 0.5).
+
+    Null and empty texts are scored like others; repeated rows stay or go together.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_quality(docs, quality.train_quality(docs, labels))
 
@@ -34,7 +37,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark item."""
+    """Drops the documents that hold a benchmark item.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together.
+    """
     items = decontaminate.load_items(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return decontaminate.drop_contaminated(docs, items)
 
@@ -42,19 +48,26 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it, 0 to 2 times.
 
-    A document without words adds nothing to the mix and is dropped. Rows without an id
-    are dropped as well: their number of copies could not be told.
+    A document without words adds nothing to the mix and is dropped; null and empty texts
+    are such. Rows without an id go by a hash of their content, so equal ones are taken
+    equally often, as are rows that share an id.
     """
-    mixed = mixing.mix_sources(docs).filter("doc_id IS NOT NULL AND copies > 0")
-    copies = stage(mixed.groupBy("doc_id").agg(F.max("copies").alias("_copies")), "copies")
-    times = copies.select("doc_id", F.array_repeat(F.lit(0), F.col("_copies").cast("int")).alias("_times"))
-    rows = docs.select("doc_id", F.struct(*docs.columns).alias("_row"))
-    taken = join_ids(rows, times, "doc_id").select("_row", F.explode("_times"))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text", "source", "lang"))
+    keyed = docs.select(key.alias("_mix_id"), F.struct(*docs.columns).alias("_row"))
+    mixed = mixing.mix_sources(
+        keyed.select("_mix_id", F.col("_row.text").alias("text"), F.col("_row.source").alias("source")), id_col="_mix_id")
+    copies = stage(mixed.filter("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies")), "copies")
+    times = copies.select(
+        F.col("doc_id").alias("_mix_id"), F.array_repeat(F.lit(0), F.col("_copies").cast("int")).alias("_times"))
+    taken = join_ids(keyed, times, "_mix_id").select("_row", F.explode("_times"))
     return taken.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the token files and returns what they hold, document by document."""
+    """Writes the token files and returns what they hold, document by document.
+
+    A null or empty text has the end id alone; repeated rows are documents of their own.
+    """
     folder = token_file.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return token_file.read_token_files(spark, folder)
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions import text as tx
+from gristmill.operators.word_units import han_runs, segmenter
 
 # ---- fixed values --------------------------------------------------------
 ASPECTS = ["语言质量", "信息量", "新颖性", "连贯性", "纯净度"]
@@ -194,15 +195,25 @@ def score_density(df: DataFrame, points: int = 200, cut: float = 3.0) -> DataFra
 
 
 def word_frequencies(
-    df: DataFrame, stopwords: DataFrame | None = None, top: int = TOP_WORDS, text_col: str = "text"
+    df: DataFrame, stopwords: DataFrame | None = None, top: int = TOP_WORDS, text_col: str = "text",
+    words: DataFrame | None = None,
 ) -> DataFrame:
     """``(word, n, weight)`` of the most frequent words, relative to the first.
 
-    Lower-cased word runs longer than one character, without stopwords. Words are
-    counted before they meet the stopwords; ties go to the smaller word.
+    Lower-cased word runs longer than one character, without stopwords. With ``words``
+    (see :func:`gristmill.operators.word_units.learn_words`) runs of Han characters are
+    cut into these words; otherwise such a run is one word. Words are counted before they
+    meet the stopwords; ties go to the smaller word.
     """
-    found = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))),
-                                 F.lit(r"(?U)\w{2,}"), F.lit(0))
+    lowered = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    if words is None:
+        found = F.regexp_extract_all(lowered, F.lit(r"(?U)\w{2,}"), F.lit(0))
+    else:
+        runs = han_runs(lowered)
+        cut = segmenter(words)(F.when(F.size(runs) > 0, runs))
+        others = F.regexp_extract_all(lowered, F.lit(r"(?U)[\w&&[^\p{IsHan}]]{2,}"), F.lit(0))
+        longer = F.filter(F.coalesce(cut, F.array().cast("array<string>")), lambda w: F.length(w) > 1)
+        found = F.concat(others, longer)
     counts = df.select(F.explode(found).alias("word")).groupBy("word").agg(
         F.count("*").alias("n"))
     if stopwords is not None:

@@ -53,13 +53,26 @@ def add_row_index(df: DataFrame, order_by: list[str], name: str = "row_index") -
     )
 
 
-def sample_rows(df: DataFrame, n: int, id_col: str = "doc_id", seed: int = 1234) -> DataFrame:
+def sample_order(seed: int, id_col: str) -> Column:
+    """A random but fixed order of ids: the MD5 digest of ``<seed>:<id>``, a missing id being empty."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+
+
+def sample_rows(
+    df: DataFrame, n: int, id_col: str = "doc_id", seed: int = 1234, by: str | None = None
+) -> DataFrame:
     """``n`` random rows, or all when there are fewer; the same rows on every run.
 
-    A top-n by a hash of the id: every task keeps its best ``n`` rows only.
+    With ``by`` that many of each of its values, null being one. The first ``n`` in the
+    order of :func:`sample_order`: every task keeps its best ``n`` rows, of each value,
+    before anything is shuffled, and only those meet.
     """
-    order = F.xxhash64(F.col(id_col), F.lit(seed))
-    return df.orderBy(order, F.col(id_col)).limit(n)
+    order = sample_order(seed, id_col)
+    if by is None:
+        return df.orderBy(order, F.col(id_col)).limit(n)
+    best = Window.partitionBy(by).orderBy("_order", id_col)
+    ordered = df.withColumn("_order", order).withColumn("_place", F.row_number().over(best))
+    return ordered.filter(F.col("_place") <= n).drop("_order", "_place")
 
 
 def language_tag(path: Column | str) -> Column:

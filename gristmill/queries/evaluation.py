@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.operators import evaluate, plumbing
+from gristmill.operators import evaluate, plumbing, word_units
 from gristmill.queries.common import quote, strip_sql, table
 
 _TEMPLATE = "Rate this text:\n{corpus}\nScores:"
@@ -144,8 +144,55 @@ _WORDS = (
     "SELECT word, n, round(n / max(n) OVER (), 9) AS weight FROM top"
 )
 
+# Texts in a script without blanks: every letter becomes a Han character, and blanks go.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzñéóíäöüß"
+_HAN = "".join(chr(0x4E00 + 7 * k) for k in range(len(_LETTERS)))
+
+
+def _without_blanks(spark, folder) -> DataFrame:
+    text = F.translate(F.lower("text"), _LETTERS + " ", _HAN)
+    return table(spark, folder, "documents").select("doc_id", text.alias("text"))
+
+
+def _learned(spark, folder) -> DataFrame:
+    found = word_units.learn_words(_without_blanks(spark, folder))
+    return found.withColumn("cohesion", F.round("cohesion", 6)).withColumn("entropy", F.round("entropy", 6))
+
+
+def _unit_frequencies(spark, folder) -> DataFrame:
+    docs = _without_blanks(spark, folder)
+    found = evaluate.word_frequencies(docs, words=word_units.learn_words(docs))
+    return found.withColumn("weight", F.round("weight", 9))
+
+
+_WINDOWS = " UNION ALL ".join(
+    f"SELECT n, unnest(list_transform(range(1, length(r) - {k - 2}), lambda i: r[i:i + {k - 1}])) AS gram FROM marked"
+    for k in range(1, word_units.LONGEST + 2))
+_PLAIN = "NOT contains(gram, chr(2)) AND NOT contains(gram, chr(3))"
+_LEARNED = (
+    "WITH runs AS (SELECT unnest(regexp_extract_all("
+    f"translate(lower(text), {quote(_LETTERS + ' ')}, {quote(_HAN)}), '\\p{{Han}}+')) AS r FROM documents), "
+    "marked AS (SELECT chr(2) || r || chr(3) AS r, count(*) AS n FROM runs GROUP BY 1), "
+    f"grams AS MATERIALIZED (SELECT gram, sum(n)::BIGINT AS n FROM ({_WINDOWS}) GROUP BY gram), "
+    f"total AS (SELECT sum(n)::DOUBLE AS t FROM grams WHERE length(gram) = 1 AND {_PLAIN}), "
+    + ", ".join(
+        f"{side} AS (SELECT {inner} AS gram, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS h FROM grams WHERE length(gram) > 2 GROUP BY 1)"
+        for side, inner in (("after", "gram[:length(gram) - 1]"), ("before", "gram[2:]")))
+    + f", words AS (SELECT gram, n, least(a.h, b.h) AS entropy FROM grams JOIN after a USING (gram) JOIN before b USING (gram) "
+    f"WHERE length(gram) BETWEEN 2 AND {word_units.LONGEST} AND n >= {word_units.MIN_COUNT} AND {_PLAIN} "
+    f"AND least(a.h, b.h) >= {word_units.MIN_ENTROPY}), "
+    "splits AS (SELECT gram, n, unnest(range(1, length(gram))) AS k FROM words), "
+    "cohesions AS (SELECT s.gram, min(log2(s.n::DOUBLE * t / x.n / y.n)) AS cohesion FROM splits s "
+    "JOIN grams x ON x.gram = s.gram[:k] JOIN grams y ON y.gram = s.gram[k + 1:], total GROUP BY s.gram) "
+    "SELECT gram AS word, n, round(cohesion, 6) AS cohesion, round(entropy, 6) AS entropy FROM words JOIN cohesions USING (gram) "
+    f"WHERE cohesion >= {word_units.MIN_COHESION}"
+)
+
 QUERIES = {
-    "e01_sample_documents": (_sampled, None),
+    "e09_word_units": (_learned, _LEARNED),
+    "e09_word_unit_frequencies": (_unit_frequencies, None),
+    "e01_sample_documents": (
+        _sampled, "SELECT doc_id, text FROM documents ORDER BY md5('1234:' || doc_id), doc_id LIMIT 10"),
     "e02_truncate_tokens": (_truncated, f"SELECT doc_id, {_cut(100)} AS text FROM documents"),
     "e03_build_prompts": (
         _prompts,

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions import shingles as sh
-from gristmill.operators import fuzzy
-from gristmill.queries.common import table
+from gristmill.operators import fuzzy, simhash
+from gristmill.operators.exact import dedup_document
+from gristmill.queries.common import letters_sql, table
+from gristmill.sources.observed import RunLog
 from gristmill.staging import stage
 
 _NONE = str(sh.MAX_HASH)
@@ -144,6 +146,15 @@ def _counts(spark, folder) -> DataFrame:
     return both.unionByName(kept.select(F.lit("after").alias("stage"), "n"))
 
 
+def _report(spark, folder) -> DataFrame:
+    # Every number comes from the job that writes the stage.
+    log = RunLog()
+    docs = log.stage(table(spark, folder, "documents").select("doc_id", "text"), "documents")
+    docs = log.stage(fuzzy.fuzzy_dedup(docs).drop("cluster"), "fuzzy_dedup")
+    log.stage(dedup_document(docs, mode="drop"), "dedup_document")
+    return log.report(spark).drop("seconds")
+
+
 def _by_token(left: str, right: str):
     return sh.jaccard_similarity(sh.ascii_tokens(left), sh.ascii_tokens(right), 1)
 
@@ -179,7 +190,39 @@ _CHARACTER_GRAMS_SQL = (
     "LEFT JOIN grams USING (doc_id)) "
 )
 
+_THREE = (
+    f"WITH RECURSIVE parts AS (SELECT doc_id, {_TOKENS} AS t FROM documents WHERE "
+    r"regexp_matches(text, '[\pL\p{Nd}_]')), "
+    "grams AS (SELECT doc_id, unnest(CASE WHEN len(t) < 3 THEN [array_to_string(t, ' ')] ELSE list_transform("
+    "range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]) END) AS gram FROM parts), "
+    "hashes AS (SELECT doc_id, ('0x' || substr(sha1(gram), 1, 16))::UBIGINT AS h FROM grams), "
+    "signatures AS MATERIALIZED (SELECT doc_id, "
+    + " + ".join(f"(CASE WHEN 2 * sum((h >> {k}) & 1) > count(*) THEN {1 << k}::UHUGEINT ELSE 0 END)" for k in range(64))
+    + " AS s FROM hashes GROUP BY doc_id)"
+)
+
+
+def _simhash_signatures(spark, folder) -> DataFrame:
+    found = simhash.simhash_signatures(table(spark, folder, "documents"))
+    return found.select("doc_id", F.hex("signature").alias("signature"))
+
+
+def _simhash(spark, folder) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return simhash.simhash_dedup(docs).select("doc_id", "text", "cluster")
+
+
 QUERIES = {
+    "m18_simhash_signature": (
+        _simhash_signatures, f"{_THREE} SELECT doc_id, to_hex(s::UBIGINT) AS signature FROM signatures"),
+    "m18_simhash_dedup": (
+        _simhash,
+        f"{_THREE}, links AS MATERIALIZED (SELECT a.doc_id AS u, b.doc_id AS v FROM signatures a JOIN signatures b "
+        "ON a.doc_id <> b.doc_id AND bit_count(xor(a.s::UBIGINT, b.s::UBIGINT)::BIT) <= 3), "
+        "reach AS (SELECT u AS node, u AS root FROM links UNION SELECT links.v, reach.root FROM reach JOIN links "
+        "ON links.u = reach.node), clusters AS (SELECT node AS doc_id, min(root) AS cluster FROM reach GROUP BY node) "
+        "SELECT doc_id, text, doc_id AS cluster FROM documents LEFT JOIN clusters USING (doc_id) "
+        "WHERE coalesce(cluster, doc_id) = doc_id"),
     "m01_ascii_tokens": (
         _tokens,
         f"WITH parts AS (SELECT doc_id, {_TOKENS} AS t FROM documents), "
@@ -222,6 +265,14 @@ QUERIES = {
         _kept(0.8),
         f"WITH RECURSIVE {clusters_sql(3, 8)} SELECT doc_id, text, doc_id AS cluster "
         "FROM documents LEFT JOIN clusters USING (doc_id) WHERE coalesce(cluster, doc_id) = doc_id"),
+    "m17_run_report": (
+        _report,
+        f"WITH RECURSIVE {clusters_sql(4, 6)}, kept AS (SELECT doc_id, text FROM documents LEFT JOIN clusters "
+        "USING (doc_id) WHERE coalesce(cluster, doc_id) = doc_id), single AS (SELECT text FROM kept QUALIFY "
+        f"row_number() OVER (PARTITION BY md5({letters_sql('text')}) ORDER BY doc_id) = 1) "
+        + " UNION ALL ".join(
+            f"SELECT '{step}' AS step, count(*) AS rows, sum(strlen(text))::BIGINT AS bytes FROM {name}"
+            for step, name in (("documents", "documents"), ("fuzzy_dedup", "kept"), ("dedup_document", "single")))),
     "m17_before_after": (
         _counts,
         f"WITH RECURSIVE {clusters_sql(4, 6)} SELECT 'before' AS stage, count(*) AS n FROM documents "

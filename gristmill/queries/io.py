@@ -136,6 +136,11 @@ def _sample(spark, folder) -> DataFrame:
     return plumbing.sample_rows(table(spark, folder, "documents"), 10).select("doc_id", "text")
 
 
+def _strata(spark, folder) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("stratum", F.col("doc_id") % 7)
+    return plumbing.sample_rows(docs, 5, by="stratum").select("stratum", "doc_id", "text")
+
+
 def _language_tag(spark, folder) -> DataFrame:
     docs = table(spark, folder, "documents")
     path = F.concat_ws("/", F.lit("data"), "source", F.concat(F.lit("lm_indic-"), "lang", F.lit("_web")))
@@ -196,7 +201,12 @@ QUERIES = {
         _row_index,
         "SELECT lang, doc_id, row_number() OVER (ORDER BY lang, doc_id) - 1 AS row_index "
         "FROM documents"),
-    "j05_sample_rows": (_sample, None),
+    "j05_sample_rows": (
+        _sample, "SELECT doc_id, text FROM documents ORDER BY md5('1234:' || doc_id), doc_id LIMIT 10"),
+    "j05_sample_strata": (
+        _strata,
+        "SELECT doc_id % 7 AS stratum, doc_id, text FROM documents QUALIFY row_number() OVER "
+        "(PARTITION BY doc_id % 7 ORDER BY md5('1234:' || doc_id), doc_id) <= 5"),
     "j06_language_tag": (
         _language_tag, "SELECT doc_id, substr(lang, 1, 2) AS tag FROM documents"),
     "j07_catalogue_language": (

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions import encoding
 from gristmill.functions import text as tx
-from gristmill.operators import filters
+from gristmill.operators import filters, script
 from gristmill.queries.common import (
     collapse_sql,
     letters_sql,
@@ -77,16 +78,51 @@ def _keyword_table_filter(spark, folder) -> DataFrame:
     return filters.sensitive_filter(docs, _benchmark_words(spark, folder)).select("doc_id", "lang")
 
 
+def _keyword_list_filter(spark, folder) -> DataFrame:
+    # A bound of 0 bytes sends the list through its index.
+    docs = table(spark, folder, "documents")
+    found = filters.sensitive_filter(docs, _benchmark_words(spark, folder), max_keyword_bytes=0)
+    return found.select("doc_id", "text", "lang")
+
+
 def _simplified(spark, folder) -> DataFrame:
     docs = table(spark, folder, "documents")
     return docs.select("doc_id", filters.to_simplified("text", _MAPPING).alias("text"))
 
 
+# Phrases of 1 to 8 characters from the words of ``benchmark``, each backwards and marked.
+_PHRASE = r"SELECT DISTINCT word[1:1 + length(word) % 8] AS source FROM (SELECT unnest(regexp_extract_all(text, '\pL+')) AS word FROM benchmark)"
+
+
+def _converted(spark, folder) -> DataFrame:
+    words = F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0)))
+    source = F.substring("word", F.lit(1), F.length("word") % 8 + 1)
+    mapping = table(spark, folder, "benchmark").select(words.alias("word")).select(source.alias("source")).distinct()
+    mapping = mapping.withColumn("target", F.concat(F.reverse("source"), F.lit("~")))
+    return script.convert_script(table(spark, folder, "documents").select("doc_id", "text"), mapping)
+
+
+def _repaired(spark, folder) -> DataFrame:
+    # Documents with an odd id were decoded with the wrong character set, some of them twice.
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    wrong = lambda text: F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    once = F.when(F.col("doc_id") % 2 == 1, wrong(F.col("text"))).otherwise(F.col("text"))
+    twice = F.when(F.col("doc_id") % 10 == 1, wrong(F.col("text"))).otherwise(F.col("text"))
+    broken = docs.withColumn("text", once).withColumn("text", twice)
+    return encoding.repair_encoding(broken, encoding.pair_costs(encoding.byte_pairs(docs)))
+
+
 _SIMPLIFIED = (
     "translate(replace(replace(replace(text, 'sch', 'sh'), 'ción', 'cion'), 'ß', 'ss'), "
     "'äöüé', 'aoue')"
 )
-_RULES = strip_sql(collapse_sql(unify_whitespace_sql(unify_punctuation_sql(_FIXED))))
+
+
+def rules_sql(x: str) -> str:
+    return strip_sql(collapse_sql(unify_whitespace_sql(unify_punctuation_sql(x))))
+
+
+_RULES = rules_sql(_FIXED)
 
 
 def _rules(spark, folder) -> DataFrame:
@@ -103,6 +139,11 @@ QUERIES = {
         r"WITH words AS (SELECT DISTINCT trim(unnest(regexp_split_to_array(text, '[.\n]')), ' ') "
         "AS keyword FROM benchmark) SELECT doc_id, lang FROM documents d WHERE NOT EXISTS "
         "(SELECT 1 FROM words w WHERE keyword <> '' AND contains(d.text, w.keyword))"),
+    "f01_sensitive_filter_long_list": (
+        _keyword_list_filter,
+        r"WITH words AS (SELECT DISTINCT trim(unnest(regexp_split_to_array(text, '[.\n]')), ' ') "
+        "AS keyword FROM benchmark) SELECT doc_id, text, lang FROM documents d WHERE NOT EXISTS "
+        "(SELECT 1 FROM words w WHERE keyword <> '' AND contains(d.text, w.keyword))"),
     "f03_unify_punctuation": (_text(tx.unify_punctuation), _sql(unify_punctuation_sql("text"))),
     "f04_unify_whitespace": (_text(tx.unify_whitespace), _sql(unify_whitespace_sql("text"))),
     "f05_collapse_punctuation": (_text(tx.collapse_punctuation), _sql(collapse_sql("text"))),
@@ -116,6 +157,12 @@ QUERIES = {
     "f09_filter_length": (
         _length_filter, "SELECT doc_id, n_chars FROM documents WHERE length(text) >= 128"),
     "f10_to_simplified": (_simplified, _sql(_SIMPLIFIED)),
+    "f10_convert_script": (
+        _converted,
+        f"WITH pairs AS ({_PHRASE}), held AS (SELECT string_agg(source, '|' ORDER BY length(source) DESC, source) || '|(?s:.)' AS p, "
+        "map(list(source), list(reverse(source) || '~')) AS m FROM pairs) SELECT doc_id, array_to_string(list_transform("
+        "regexp_extract_all(text, p), lambda t: coalesce(m[t], t)), '') AS text FROM documents, held"),
+    "f11_repair_encoding": (_repaired, "SELECT doc_id, text FROM documents"),
     "f11_fix_text": (_text(tx.fix_text), _sql(_FIXED)),
     "f12_rule_filter": (
         _rules,

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.operators.reports import modified_documents
+from gristmill.sources.observed import Written, write_whole
 
 
 def read_jsonl(
@@ -49,33 +49,17 @@ def write_table(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str, kind: str) -> bool:
-    try:
-        spark.read.format(kind).schema("_ string").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 def write_guarded(
-    df: DataFrame, path: str, kind: str = "json", from_scratch: bool = False
-) -> bool:
-    """Write unless the path exists or there are no rows; tells whether it wrote.
+    df: DataFrame, path: str, kind: str = "json", from_scratch: bool = False, text_col: str = "text"
+) -> Written:
+    """Write unless the path exists or there are no rows; tells whether it wrote, and how much.
 
-    The output committer moves finished files into place, so a failed job leaves no
-    partial result. ``from_scratch`` replaces an existing result.
+    The input is read once. The result appears under its path when it is whole, so a
+    failed job leaves no part of it. ``from_scratch`` replaces an existing result, which
+    the input may read.
     """
-    if not from_scratch and _exists(df.sparkSession, path, kind):
-        return False
-    if df.isEmpty():
-        return False
-    writer = df.write.mode("overwrite" if from_scratch else "error").format(kind)
-    if kind == "json":
-        writer = writer.option("ignoreNullFields", False)
-    writer.save(path)
-    return True
+    options = {"ignoreNullFields": False} if kind == "json" else {}
+    return write_whole(df, path, kind, from_scratch, text_col, **options)
 
 
 def write_step_checks(
@@ -88,10 +72,10 @@ def write_step_checks(
     id_col: str = "doc_id",
     text_col: str = "text",
     from_scratch: bool = False,
-) -> bool:
+) -> Written:
     """Save the rows that a step changed as ``<folder>/<index>_<step>_checks``."""
     changed = modified_documents(before, after, n, id_col, text_col)
-    return write_guarded(changed, f"{folder}/{index}_{step}_checks", "parquet", from_scratch)
+    return write_guarded(changed, f"{folder}/{index}_{step}_checks", "parquet", from_scratch, text_col)
 
 
 def write_clusters(clusters: DataFrame, path: str, mode: str = "error") -> None:

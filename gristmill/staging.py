@@ -45,6 +45,34 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_by_id(df: DataFrame, label: str, id_col: str, buckets: int) -> str:
+    """Write ``df`` in buckets by id and return the name of the table.
+
+    ``df`` must be partitioned by id into ``buckets`` partitions already, as it is after
+    ``repartition(buckets, id_col)`` and after joins by id of such a table; then no row
+    moves. Joins by id read the table without an exchange on its side.
+    """
+    path = new_path(df.sparkSession, label)
+    name = path.rpartition("/")[2].replace("-", "_")
+    df.write.bucketBy(buckets, id_col).option("path", path).saveAsTable(name)
+    return name
+
+
+def buckets_for(df: DataFrame) -> int | None:
+    """Buckets of about one split each for a table too large for joins by id to be broadcast joins.
+
+    An id is less than 1/200 of a document, so below 200 times the broadcast limit the ids
+    of any share of the rows are broadcast, texts stay where they are, and no buckets are
+    needed.
+    """
+    session = df.sparkSession
+    conf = session._jsparkSession.sessionState().conf()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size <= 200 * conf.autoBroadcastJoinThreshold() and conf.autoBroadcastJoinThreshold() > 0:
+        return None
+    return max(session.sparkContext.defaultParallelism, -(-size // conf.filesMaxPartitionBytes()))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition when the input has fewer splits than the cluster has cores.
 
