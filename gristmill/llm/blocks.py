@@ -94,6 +94,16 @@ def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
         pa.array(np.asarray(offsets, np.int32)), pa.array(values.view(np.int64)))
 
 
+def hash_bound(share: float) -> int:
+    """The 64-bit integer up to which the lowest ``share`` of all signed 64-bit hashes go."""
+    return min(int(min(1.0, share) * 2**64) - 2**63, 2**63 - 1)
+
+
+def hash_below(share: float, *columns: Column) -> Column:
+    """Whether the 64-bit hash of the columns is in the lowest ``share`` of all hashes, however small the share."""
+    return F.xxhash64(*columns) <= F.lit(hash_bound(share))
+
+
 def join_ids(
     rows: DataFrame, ids: DataFrame, on: str, how: str = "inner", bytes_of: Column | None = None
 ) -> DataFrame:

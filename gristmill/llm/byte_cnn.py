@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.blocks import pieces, utf8
+from gristmill.llm.blocks import hash_below, pieces, utf8
 
 #: Bytes in a window; labelled documents in the sample, about; windows taken of each.
 WINDOW, SAMPLE, WINDOWS_OF_DOC = 256, 3000, 3
@@ -205,8 +205,7 @@ def train_language_id(
     network knows no language.
     """
     rows = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    share = min(1.0, sample / max(1, rows.count()))
-    rows = rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000))
+    rows = rows.filter(hash_below(sample / max(1, rows.count()), F.col(id_col).cast("long"), F.lit(9)))
     found = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(
         _Sample(), "lang string, window binary").toPandas().sort_values(["lang", "window"])
     languages = sorted(found["lang"].unique())

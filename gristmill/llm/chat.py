@@ -100,6 +100,10 @@ DEFAULT = Template(
 )
 
 
+#: The same order as a pattern over one letter a turn.
+DEFAULT_ORDER = "s|s?u(a[ut])*a?"
+
+
 class _Format:
     """mapInArrow over turns in order: segments, with the state of the machine carried on."""
 
@@ -211,7 +215,7 @@ def read_back(segments: DataFrame, template: Template = DEFAULT) -> DataFrame:
 
 
 def chat_sql(conversations: str, template: Template = DEFAULT) -> str:
-    """DuckDB SQL of the digests: escapes are counted, not made."""
+    """DuckDB SQL of the digests: escapes are counted, not made; the order is that of the default template."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     marks = lambda x: " + ".join(
         [f"(length({x}) - length(replace({x}, '\\', '')))"]
@@ -225,4 +229,5 @@ sized AS (SELECT *, length(text) + {marks("text")} + CASE role {plain}
 SELECT conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY {order})) turns_sha256,
   coalesce(sum(length(text)) FILTER ({learned}), 0)::BIGINT loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY {order}) FILTER ({learned}), '')) loss_sha256,
-  sum(n)::BIGINT formatted_chars FROM sized GROUP BY conv_id"""
+  sum(n)::BIGINT formatted_chars, regexp_full_match(string_agg(CASE WHEN role IN ('system', 'user', 'assistant', 'tool')
+  THEN role[1] ELSE 'x' END, '' ORDER BY {order}), '{DEFAULT_ORDER}') in_order FROM sized GROUP BY conv_id"""

@@ -4,9 +4,10 @@ A document holds an item when one of its substrings is within ``percent`` % of t
 length in edit distance (bytes; A-Z and Latin-1 letters lower-cased, white space as blanks). An item
 with ``e`` permitted edits is cut into ``e + h`` pieces; edits spoil at most ``e`` of
 them, so ``h`` pieces at least stand unchanged in every such substring, within ``e`` places
-of where they would without edits. Windows are laid wherever a document has that many. An edit also spoils at most ``GRAM`` of the item's grams,
-so windows with too few of them leave. The rest is verified exactly: nothing is missed,
-whatever the edits and however short the item.
+of where they would without edits. Windows are laid wherever a document has that many. An edit also spoils at most ``GRAM`` of the item's grams, so
+windows with too few of them leave, and then those in which too few stand in the places
+of one occurrence. The rest is verified exactly: nothing is missed, whatever the edits
+and however short the item.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.blocks import mix, pieces, utf8
 
-#: Bytes of a piece at most; pieces are so long that about HITS of them stay whole, or one if the item is short.
-SEED, HITS = 8, 8
+#: Bytes of a piece at most; pieces are so long that about HITS of them stay whole, or one if that leaves less than 5 bytes.
+SEED, HITS = 8, 2
 #: Items sent to the tasks at a time, in bytes; a larger benchmark is taken in several passes.
-ITEM_BYTES = 8 << 20
+ITEM_BYTES = 2 << 20
 #: Bytes of text searched together, and of windows whose grams are counted together.
-SEARCHED_BYTES, COUNTED_BYTES = 4 << 20, 1 << 20
+SEARCHED_BYTES, COUNTED_BYTES = 1 << 20, 1 << 19
 #: Length of the strings counted before a pair is verified, and bits of their hashes.
 GRAM, GRAM_BITS = 4, 12
 
@@ -77,6 +78,20 @@ def edit_end(item: bytes, text: bytes) -> tuple[int, int]:
     return best
 
 
+class Runs:
+    """Where the rows of each key stand in a sorted array of keys."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.first, self.times = np.unique(keys, return_index=True, return_counts=True)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First row and number of rows of every wanted key."""
+        if not len(self.keys):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return self.first[at], np.where(self.keys[at] == wanted, self.times[at], 0)
+
+
 class Items:
     """Items of one pass: their pieces by length, and hashed grams of each as bits."""
 
@@ -86,7 +101,11 @@ class Items:
         self.percent = percent
         self.bytes = [x.tobytes() for _, x in kept]
         self.size = np.array([len(x) for x in self.bytes], np.int64)
-        self.grams = [[x[k:k + GRAM] for k in range(len(x) - GRAM + 1)] for x in self.bytes]
+        keys = [np.uint64(k << 32) | codes(x, GRAM) for k, (_, x) in enumerate(kept)]
+        places = np.concatenate([np.arange(len(x)) for x in keys] or [np.zeros(0, np.int64)])
+        keys = np.concatenate(keys or [np.zeros(0, np.uint64)])
+        order = np.argsort(keys, kind="stable")
+        self.runs, self.places = Runs(keys[order]), places[order]
         self.bits = np.zeros((len(kept), 1 << GRAM_BITS >> 3), np.uint8)
         self.hits = np.ones(len(kept), np.int64)
         held: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
@@ -102,9 +121,9 @@ class Items:
         for length, rows in sorted(held.items()):
             rows.sort()
             value = np.array([r[0] for r in rows], np.uint64)
-            sieve = np.zeros(1 << 22, bool)
-            sieve[(mix(value) >> np.uint64(42)).astype(np.int64)] = True
-            self.pieces.append((length, value, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), sieve))
+            sieve = np.zeros(1 << max(16, min(22, (32 * len(rows)).bit_length())), bool)
+            sieve[(mix(value) & np.uint64(len(sieve) - 1)).astype(np.int64)] = True
+            self.pieces.append((length, Runs(value), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), sieve))
 
     def edits(self, item):
         return self.size[item] * self.percent // 100
@@ -114,8 +133,8 @@ class Items:
         data = fold(data)
         found: dict[tuple[int, int], tuple[int, int]] = {}
         raw = data.tobytes()
-        row, item, left, right = self._windows(data, offsets)
-        for k in np.flatnonzero(self._enough(data, item, left, right)).tolist():
+        row, item, left, right = self._aligned(data, offsets, *self._enough(data, *self._windows(data, offsets)))
+        for k in range(len(row)):
             pair = (int(row[k]), int(item[k]))
             if pair in found and found[pair][0] == 0:
                 continue
@@ -125,12 +144,16 @@ class Items:
                 found[pair] = (distance, int(left[k]) + end - int(offsets[row[k]]))
         return [(r, i, d, e) for (r, i), (d, e) in sorted(found.items())]
 
-    def _enough(self, data, item, left, right) -> np.ndarray:
-        """Which windows have as many grams of their item as permitted edits leave."""
+    def _enough(self, data, row, item, left, right):
+        """The windows, cut to the places around which enough grams of their item stand.
+
+        A substring within the permitted edits has at most that many bytes more than the
+        item, and in it stand all grams of the item that the edits leave.
+        """
         need = self.size[item] - GRAM + 1 - GRAM * self.edits(item)
         grams, length = gram_codes(data), np.maximum(right - left - GRAM + 1, 0)
-        out = need <= 0
-        some = np.flatnonzero(~out & (length >= need))
+        keep, begin, end = need <= 0, left.copy(), right.copy()
+        some = np.flatnonzero(~keep & (length >= need))
         ends = np.cumsum(length[some])
         for part in np.split(some, np.searchsorted(ends, np.arange(COUNTED_BYTES, ends[-1] if len(ends) else 0, COUNTED_BYTES))):
             if not len(part):
@@ -138,19 +161,83 @@ class Items:
             size = length[part]
             first = np.cumsum(size) - size
             code = grams[np.arange(size.sum()) + np.repeat(left[part] - first, size)]
-            has = (self.bits[np.repeat(item[part], size), code >> 3] >> (code & 7)) & 1
-            out[part] = np.add.reduceat(has, first, dtype=np.int64) >= need[part]
-        return out
+            sums = np.zeros(len(code) + 1, np.int64)
+            np.cumsum((self.bits[np.repeat(item[part], size), code >> 3] >> (code & 7)) & 1, out=sums[1:])
+            wide = np.minimum(size, self.size[item[part]] + self.edits(item[part]) - GRAM + 1)
+            count = size - wide + 1
+            start = np.cumsum(count) - count
+            at = np.arange(count.sum()) + np.repeat(first - start, count)
+            held = sums[at + np.repeat(wide, count)] - sums[at] >= np.repeat(need[part], count)
+            any_ = np.add.reduceat(held, start, dtype=np.int64) > 0
+            place = np.where(held, np.arange(len(held)) - np.repeat(start, count), 0)
+            last = np.maximum.reduceat(place, start)
+            place = np.where(held, place, len(held))
+            new = np.minimum.reduceat(place, start)
+            keep[part[any_]] = True
+            begin[part[any_]] = (left[part] + new)[any_]
+            end[part[any_]] = (left[part] + last + wide + GRAM - 1)[any_]
+        return row[keep], item[keep], begin[keep], end[keep]
+
+    def _aligned(self, data, offsets, row, item, left, right):
+        """Places in the windows at which enough grams stand where one occurrence would have them.
+
+        A gram that the edits leave stands at its place in the item from where the
+        substring begins, give or take the permitted edits: its text place less its item
+        place lies in a band of twice the edits and one.
+        """
+        most = self.edits(item)
+        need = self.size[item] - GRAM + 1 - GRAM * most
+        free = need <= 0
+        found = [(row[free], item[free], left[free], right[free])]
+        grams, some = codes(data, GRAM), np.flatnonzero(~free)
+        length = np.maximum(right - left - GRAM + 1, 0)
+        ends = np.cumsum(length[some])
+        for part in np.split(some, np.searchsorted(ends, np.arange(COUNTED_BYTES, ends[-1] if len(ends) else 0, COUNTED_BYTES))):
+            if not len(part):
+                continue
+            size = length[part]
+            window = np.repeat(np.arange(len(part)), size)
+            at = np.arange(size.sum()) + np.repeat(left[part] - (np.cumsum(size) - size), size)
+            key = (item[part].astype(np.uint64) << np.uint64(32))[window] | grams[at]
+            lo, times = self.runs.find(key)
+            which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo, times)
+            window, place = np.repeat(window, times), self.places[which]
+            shift = np.repeat(at, times) - place
+            order = np.lexsort((shift, window))
+            window, shift, place = window[order], shift[order], place[order]
+            last = np.arange(len(window)) + need[part][window] - 1
+            inside = np.flatnonzero(last < len(window))
+            last = last[inside]
+            good = (window[last] == window[inside]) & (shift[last] - shift[inside] <= 2 * most[part][window[inside]])
+            inside, last = inside[good], last[good]
+            if not len(inside):
+                continue
+            # Bands that begin within a band's width of each other are one place to look at.
+            wide = 2 * most[part][window[inside]] + 1
+            new = np.ones(len(inside), bool)
+            bucket = shift[inside] // wide
+            new[1:] = (window[inside][1:] != window[inside][:-1]) | (bucket[1:] != bucket[:-1])
+            first = np.flatnonzero(new)
+            final = np.append(first[1:], len(inside)) - 1
+            low, high = inside[first], last[final]
+            # A gram of the item counts once, however often the bands hold it.
+            held = high - low + 1
+            spot = np.repeat(np.arange(len(low)), held)
+            pair = np.arange(held.sum()) + np.repeat(low - (np.cumsum(held) - held), held)
+            single = np.unique(spot * (self.size.max() + 1) + place[pair]) // (self.size.max() + 1)
+            which = part[window[low]]
+            full = np.bincount(single, minlength=len(low)) >= need[which]
+            low, high, which = shift[low[full]], shift[high[full]], which[full]
+            found.append((
+                row[which], item[which], np.maximum(low - most[which], offsets[row[which]]),
+                np.minimum(high + self.size[item[which]] + 2 * most[which], offsets[row[which] + 1])))
+        return tuple(map(np.concatenate, zip(*found)))
 
     def _verify(self, item: int, text: bytes, most: int) -> tuple[int, int]:
         x = self.bytes[item]
         at = text.find(x)
         if at >= 0:
             return 0, at + len(x)
-        # An edit spoils at most GRAM of the item's grams; with fewer left it cannot be here.
-        here = {text[k:k + GRAM] for k in range(len(text) - GRAM + 1)}
-        if sum(g in here for g in self.grams[item]) < len(x) - GRAM + 1 - GRAM * most:
-            return len(x), 0
         return edit_end(x, text)
 
     def _windows(self, data, offsets):
@@ -163,12 +250,12 @@ class Items:
         places = len(data) + 3 * reach + 24
         width = np.maximum(2 * self.edits(np.arange(len(self.ids))) + 1, 8)
         seen = [np.zeros(0, np.int64)]
-        for length, value, items, offset, sieve in self.pieces:
+        for length, runs, items, offset, sieve in self.pieces:
             text = codes(data, length)
-            at = np.flatnonzero(sieve[(mix(text) >> np.uint64(42)).astype(np.int64)])
-            lo, hi = np.searchsorted(value, text[at], "left"), np.searchsorted(value, text[at], "right")
+            at = np.flatnonzero(sieve[(mix(text) & np.uint64(len(sieve) - 1)).astype(np.int64)])
+            lo, times = runs.find(text[at])
             row = np.searchsorted(offsets, at, "right") - 1
-            times = np.where(at + length <= offsets[row + 1], hi - lo, 0)
+            times = np.where(at + length <= offsets[row + 1], times, 0)
             which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo, times)
             item = items[which]
             stretch = (np.repeat(at, times) - offset[which] + reach) // width[item]
@@ -192,6 +279,26 @@ class Items:
             end + width[item] - 1 + self.size[item] + most, offsets[row + 1])
 
 
+    def search(self, texts: pa.Array) -> list[tuple[int, int, int, int]]:
+        """:meth:`find` on a column; a text above ``SEARCHED_BYTES`` is searched in stretches.
+
+        Stretches overlap by the longest occurrence that the permitted edits allow.
+        """
+        data, offsets = utf8(texts)
+        if len(data) <= 2 * SEARCHED_BYTES:
+            return self.find(data, offsets)
+        overlap = int((self.size + self.edits(np.arange(len(self.ids)))).max(initial=0))
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for row in range(len(offsets) - 1):
+            begin, end = int(offsets[row]), int(offsets[row + 1])
+            for at in range(begin, end, SEARCHED_BYTES):
+                part = data[at:min(end, at + SEARCHED_BYTES + overlap)]
+                for _, item, distance, last in self.find(part, np.array([0, len(part)])):
+                    if (row, item) not in best or distance < best[row, item][0]:
+                        best[row, item] = (distance, at - begin + last)
+        return [(r, i, d, e) for (r, i), (d, e) in sorted(best.items())]
+
+
 class _Find:
     """mapInArrow over (id, text): one row per document and item that it holds."""
 
@@ -201,7 +308,7 @@ class _Find:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, 1, SEARCHED_BYTES):
-                found = self.items.find(*utf8(part.column(1)))
+                found = self.items.search(part.column(1))
                 rows, items, distances, ends = (list(c) for c in zip(*found)) if found else ([], [], [], [])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(rows, pa.int64())), pa.array([self.items.ids[i] for i in items], pa.int64()),
@@ -219,14 +326,17 @@ class _Clean:
         for batch in batches:
             for part in pieces(batch, self.text, SEARCHED_BYTES):
                 keep = np.ones(part.num_rows, bool)
-                keep[[f[0] for f in self.items.find(*utf8(part.column(self.text)))]] = False
+                keep[[f[0] for f in self.items.search(part.column(self.text))]] = False
                 yield part.filter(pa.array(keep))
 
 
 def load_items(
     benchmark: DataFrame, percent: int = 15, item_id: str = "item_id", item_text: str = "text"
 ) -> list[Items]:
-    """The benchmark in passes of about ``ITEM_BYTES``; null, blank and repeated items are left out."""
+    """The benchmark in passes of about ``ITEM_BYTES``; null, blank and repeated items are left out.
+
+    All passes are held by the driver, so this is for benchmarks of some hundred MB at most.
+    """
     rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
     rows = rows.filter("item_id IS NOT NULL AND text IS NOT NULL").dropDuplicates()
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

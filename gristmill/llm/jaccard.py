@@ -218,8 +218,8 @@ def ngram_jaccard(
     with the same id are one node. A row without an id links with nothing and has no
     component. An empty table gives an empty result. Other columns are not read.
 
-    No group is listed in pairs: equal sets are one representative, lists become stars,
-    and blocks above ``BLOCK_SHINGLES`` shingles are dealt over tasks.
+    Equal sets are one representative and lists become stars. A block above
+    ``BLOCK_SHINGLES`` shingles is dealt over tasks in parts, of which each two meet.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = stage(source.mapInArrow(
@@ -228,10 +228,11 @@ def ngram_jaccard(
     digest = ["n_shingles", "d1", "d2"]
     equal = known.groupBy(*digest).agg(F.min("doc_id").alias("_hub"), F.count("*").alias("_weight"))
     copies = join_groups(known.select("doc_id", *digest), equal.filter("_weight > 1"), digest, "_weight", ["doc_id"])
-    copies = stage(copies.filter("doc_id <> _hub").select("doc_id", "_hub").distinct(), "copies")
-    single = known.join(copies.select("doc_id"), "doc_id", "left_anti")
+    copies = stage(copies.filter("doc_id <> _hub").select("doc_id", *digest, "_hub").distinct(), "copies")
+    # An id may have several texts; only the set that equals another one is left out.
+    single = known.join(copies.select("doc_id", *digest), ["doc_id", *digest], "left_anti")
     blocks = stage(_blocks(single, percent), "blocks")
-    sized = stage(single.select("doc_id", "n_shingles").join(blocks, "doc_id"), "sized")
+    sized = stage(single.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles")).join(blocks, "doc_id"), "sized")
     parts = sized.groupBy("_block").agg(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("_parts"), F.count("*").alias("_weight"))
     dealt = join_groups(sized.select("doc_id", "_block"), parts, ["_block"], "_weight", ["doc_id"])

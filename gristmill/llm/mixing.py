@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.operators.plumbing import add_row_index
 from gristmill.staging import stage
 
 #: Weights of the sources in code-point order, repeating.
@@ -13,8 +14,6 @@ WEIGHTS = (5, 2, 1)
 TOLERANCE = 1e-13
 #: Documents of a source are rounded in tiers: above 1/20 of it, above 1/200, the rest.
 TIERS = (20, 200)
-#: A window over the documents of a source holds about this many rows.
-ROWS_PER_WINDOW = 1_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -80,15 +79,17 @@ def balance(cells: DataFrame, targets: DataFrame, most_rounds: int = 60) -> Data
 
 
 def _round_tier(rows: DataFrame, rates: DataFrame, most: float) -> DataFrame:
-    """Whole copies of one tier: the k-th document in size order gets the k-th step of rate * k."""
-    salts = F.greatest(F.lit(1), F.ceil(F.col("_docs") / ROWS_PER_WINDOW))
-    salt = F.pmod(F.coalesce("doc_id", F.lit(0)), salts)
-    order = Window.partitionBy("_key", "_salt").orderBy("_size", F.col("doc_id").asc_nulls_first())
-    place = F.row_number().over(order)
+    """Whole copies of one tier: the k-th document of a source in size order gets the k-th step of rate * k.
+
+    Places come from ranges of the order over all sources, so no task holds a source.
+    """
+    numbered = stage(add_row_index(rows, ["_key", "_size", "doc_id"], "_index"), "places")
+    first = numbered.groupBy("_key").agg(F.min("_index").alias("_first"))
+    place = F.col("_index") - F.col("_first") + 1
     step = lambda k: F.floor(F.col("_rate") * k + F.lit(0.5))
     copies = F.least(F.lit(int(most)), F.greatest(F.lit(0), step(place) - step(place - 1)))
-    rows = rows.join(rates, "_key").withColumn("_salt", salt)
-    return rows.withColumn("_copies", copies.cast("long")).drop("_salt", "_rate", "_docs")
+    placed = numbered.join(first, "_key").join(rates, "_key")
+    return placed.withColumn("_copies", copies.cast("long")).drop("_rate", "_index", "_first")
 
 
 def mix_sources(
@@ -101,7 +102,7 @@ def mix_sources(
     document. Rounding goes from large to small documents: each tier of a source aims at
     what the tiers before have left open, and inside a tier documents are rounded in size
     order, so that a source misses its target by about half a document of its smallest
-    tier. Windows of sources with many documents are split by id.
+    tier. The rule is the same at every size.
 
     A null source is a source of its own, the last one. A null or blank text has size 0
     and takes nothing. Rows that repeat are rows of their own. An empty table gives an
@@ -125,11 +126,10 @@ def mix_sources(
     done = None
     for number in range(len(TIERS) + 1):
         part = rows.filter(F.col("_tier") == number)
-        docs_in = part.groupBy("_key").agg(F.count("*").alias("_docs"))
         if number:
             rate = F.when(F.col("_left") > 0, F.round(F.col("_open") / F.col("_left"), 12)).otherwise(F.lit(0.0))
             rest = rest.withColumn("_rate", F.greatest(F.lit(0.0), F.least(F.lit(most), rate)))
-        rounded = stage(_round_tier(part, rest.select("_key", "_rate").join(docs_in, "_key"), most), "rounded")
+        rounded = stage(_round_tier(part, rest.select("_key", "_rate"), most), "rounded")
         done = rounded if done is None else done.unionByName(rounded)
         sums = rounded.groupBy("_key").agg(
             F.sum(F.col("_size") * F.col("_copies")).alias("_taken"), F.sum("_size").alias("_had"))

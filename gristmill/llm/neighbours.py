@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.llm.blocks import hash_below
 from gristmill.operators.skew import join_groups
 from gristmill.staging import stage
 
@@ -34,8 +35,8 @@ LEAF_KEPT, KEPT = 20, 16
 TREES, TREE_SAMPLE, LEAF = 10, 20_000, 1000
 #: NN-descent ends when fewer than this share of neighbours change.
 SETTLED = 0.02
-#: Nodes in the pool of a query, and how many are expanded in a step.
-POOL, EXPANDED, STEPS = 80, 16, 24
+#: Nodes in the pool of a query at least (four times the results asked for, if more), and how many are expanded in a step.
+POOL, EXPANDED = 80, 16
 
 
 class _Pack:
@@ -241,8 +242,7 @@ def build_graph(nodes: DataFrame, kind: str) -> DataFrame:
     """``_node, _ids, _scores``: near neighbours of each node (``_node, _vec``, written), best first."""
     n = nodes.count()
     depth = max(0, int(np.ceil(np.log2(max(1, n) / (LEAF * 0.75)))))
-    share = min(1.0, TREE_SAMPLE / max(1, n))
-    sample = nodes.filter(F.pmod(F.xxhash64("_node"), F.lit(1_000_000)) < int(share * 1_000_000)).select("_node", "_vec").toPandas()
+    sample = nodes.filter(hash_below(TREE_SAMPLE / max(1, n), F.col("_node"))).select("_node", "_vec").toPandas()
     if not len(sample):
         depth = 0
     dims = len(sample["_vec"].iloc[0]) // np.dtype(kind).itemsize if len(sample) else 1
@@ -284,8 +284,8 @@ class _Step:
 
     schema = "_query long, _vec binary, _ids array<long>, _scores array<double>, _done array<boolean>"
 
-    def __init__(self, kind: str):
-        self.kind = kind
+    def __init__(self, kind: str, pool: int):
+        self.kind, self.pool = kind, pool
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
@@ -301,7 +301,7 @@ class _Step:
                 value = (x * np.frombuffer(own, self.kind).astype(np.float64)).sum(axis=1)
                 ids = np.r_[ids, np.array([i for i, _ in new], np.int64)]
                 scores, done = np.r_[scores, value], np.r_[done, np.zeros(len(new), bool)]
-            top = _best(scores, ids, POOL)
+            top = _best(scores, ids, self.pool)
             out.append((query, own, ids[top].tolist(), scores[top].tolist(), done[top].tolist()))
         kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()))
         yield pa.RecordBatch.from_arrays(
@@ -309,8 +309,12 @@ class _Step:
             ["_query", "_vec", "_ids", "_scores", "_done"])
 
 
-def search_graph(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
-    """``_query, _ids, _scores``: best nodes of each query node, itself included, by greedy search."""
+def search_graph(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: str, pool: int = POOL) -> DataFrame:
+    """``_query, _ids, _scores``: best nodes of each query node, itself included, by greedy search.
+
+    It ends when every node of every pool has been expanded; a node is expanded once by a
+    query at most, so it does end.
+    """
     start = queries.join(nodes.select(F.col("_node").alias("_query"), "_vec"), "_query")
     # The first thing a query sees is itself.
     empty = start.select(
@@ -323,9 +327,9 @@ def search_graph(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: s
         "_query", F.lit(1).alias("_kind"), F.lit(None).cast("binary").alias("_vec"),
         F.lit(None).cast("array<long>").alias("_ids"), F.lit(None).cast("array<double>").alias("_scores"),
         F.lit(None).cast("array<boolean>").alias("_done"), "_cand", "_cvec"),
-    ).repartition("_query").sortWithinPartitions("_query", "_kind").mapInArrow(_Step(kind), _Step.schema)
+    ).repartition("_query").sortWithinPartitions("_query", "_kind").mapInArrow(_Step(kind, pool), _Step.schema)
     state = stage(step(empty, queries.select("_query", F.col("_query").alias("_cand"))), "pool")
-    for _ in range(STEPS):
+    while True:
         open_ = F.filter(F.transform(F.arrays_zip("_ids", "_done"), lambda p: F.when(~p["_done"], p["_ids"])), lambda i: i.isNotNull())
         frontier = state.select("_query", F.explode(F.slice(open_, 1, EXPANDED)).alias("_node"))
         met = frontier.join(graph.select("_node", "_ids"), "_node").select("_query", F.explode("_ids").alias("_cand")).distinct()
@@ -342,9 +346,10 @@ def nearest(
 
     Nearness is the inner product; ties go to the smaller id. Vectors that are null, zero
     or hold null or non-finite components take no part, as do rows without an id. A query
-    gets all others if there are fewer than ``k``. Rows that repeat count once. An empty
-    table gives an empty result; other columns are not read. All vectors have the same
-    number of components.
+    gets all others if there are fewer than ``k``. Rows that repeat count once, and of
+    several vectors of one id the one with the smallest bytes. Vectors take part whose
+    number of components is the most frequent one (the larger of equally frequent ones).
+    An empty table gives an empty result; other columns are not read.
 
     Every vector is in the graph; the trees are fitted on ``TREE_SAMPLE`` vectors, the
     search is not exhaustive, and its recall is measured in the tests on tables many
@@ -354,7 +359,10 @@ def nearest(
     kind = "<f4" if single else "<f8"
     rows = stage(embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(
         "array<float>" if single else "array<double>").alias("vector")).mapInArrow(
-        _Pack(kind), "vec_id long, _vec binary").dropDuplicates(["vec_id"]), "vectors")
+        _Pack(kind), "vec_id long, _vec binary").groupBy("vec_id").agg(F.min("_vec").alias("_vec")), "vectors")
+    sizes = rows.groupBy(F.octet_length("_vec").alias("n")).agg(F.count("*").alias("rows"))
+    common = sizes.orderBy(F.desc("rows"), F.desc("n")).first()
+    rows = rows.filter(F.octet_length("_vec") == (common["n"] if common else 0))
     nodes = stage(rows.groupBy("_vec").agg(F.min("vec_id").alias("_node"), F.count("*").alias("_weight")), "nodes")
     order = Window.partitionBy("_vec").orderBy("vec_id")
     few = rows.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= k + 1)
@@ -364,7 +372,7 @@ def nearest(
         F.col("vec_id").alias("query_id"), F.col("_node").alias("_query")), "asked")
     nodes = nodes.drop("_weight")
     graph = build_graph(nodes, kind)
-    found = search_graph(asked.select("_query").distinct(), graph, nodes, kind)
+    found = search_graph(asked.select("_query").distinct(), graph, nodes, kind, max(POOL, 4 * (k + 1)))
     best = found.select("_query", F.posexplode(F.arrays_zip("_ids", "_scores")).alias("_place", "_p")).filter(F.col("_place") <= k)
     ids = best.select("_query", F.col("_p._ids").alias("_node"), F.col("_p._scores").alias("score")).join(members, "_node")
     # k + 1 ids are enough for every query of a node, as each leaves out only its own.

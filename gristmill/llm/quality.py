@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.blocks import RangeHash, pieces, utf8
+from gristmill.llm.blocks import RangeHash, hash_below, pieces, utf8
 from gristmill.llm.shingles import shingle_sets, word_spans
 from gristmill.staging import stage
 
@@ -198,14 +198,13 @@ def train_quality(
     """Trees fitted on about ``sample`` labelled documents at most.
 
     The sample is the labelled ids whose hash is below the share that gives that size;
-    null labels and ids without a document are left out. The ids of the sample are
-    broadcast, and only their statistics (some 100 bytes each) reach the driver.
+    null labels and ids without a document are left out, and of several labels of one id
+    the smallest counts. The ids of the sample are broadcast, and only their statistics
+    (some 100 bytes each) reach the driver.
     """
-    known = stage(labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label")), "labels")
-    rows = known.count()
-    share = min(1.0, sample / max(1, rows))
-    chosen = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000)).dropDuplicates(["_id"])
+    known = stage(labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
+        F.col(id_col).cast("long").alias("_id")).agg(F.min(F.col(label_col).cast("int")).alias("_label")), "labels")
+    chosen = known.filter(hash_below(sample / max(1, known.count()), F.col("_id")))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(
         F.broadcast(chosen), "_id").select("_label", "_text")
     found = texts.mapInArrow(_Statistics(), "label int, values binary").toPandas()

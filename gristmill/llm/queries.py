@@ -29,7 +29,7 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         f"SELECT -7L AS conv_id, turn, role, '{AWKWARD}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
     turns = _table(spark, folder, "conversations").select(columns).unionByName(extra)
     segments = stage(chat.format_chat(turns), "segments")
-    return chat.read_back(segments).drop("in_order")
+    return chat.read_back(segments)
 
 
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,7 +58,7 @@ def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return left.select(
         "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:

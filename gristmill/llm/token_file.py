@@ -35,6 +35,8 @@ SHARD_IDS = 1 << 23
 SELECT_STEP = 128
 #: Different word pieces whose ids a task remembers.
 REMEMBERED = 300_000
+#: Ids that one task reads back, about.
+READ_IDS = 1 << 22
 #: Fixed value: the pre-tokens of byte-level tokenizers.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Characters that libraries disagree on as white space.
@@ -200,8 +202,9 @@ class WordIds:
 
     _gap = re.compile(r"(?<=\S) (?=\S)")
 
-    def __init__(self, tokenizer, width: int):
+    def __init__(self, tokenizer, width: int, added: list[str] | None = None):
         self.known = _Pieces(tokenizer, width, {})
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else None
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
@@ -210,6 +213,9 @@ class WordIds:
         known, out = self.known, []
         get = known.__getitem__
         for text in texts:
+            if self.added and self.added(text):  # added tokens go across words
+                out.append(known.whole(text))
+                continue
             words = text.split(" ")
             first = words.pop(0)
             try:
@@ -226,16 +232,43 @@ class WordIds:
         return out
 
 
-def _memory(tokenizer_json: str, width: int) -> WordIds:
-    """The memory of this worker process, which its later tasks go on with."""
+class WholeIds:
+    """Ids of texts that the library encodes one by one, whole."""
+
+    def __init__(self, tokenizer, width: int):
+        self.whole = _Pieces(tokenizer, width, {}).whole
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return [self.whole(text) for text in texts]
+
+
+def cuts_at_blanks(settings: dict) -> bool:
+    """Whether a tokenizer file has the rules that :class:`WordIds` relies on and no others."""
+    before, model = settings.get("pre_tokenizer") or {}, settings["model"]
+    return (
+        settings.get("normalizer") is None and settings.get("truncation") is None and settings.get("padding") is None
+        and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        and model.get("type") == "BPE" and not model.get("dropout") and not model.get("continuing_subword_prefix")
+        and not model.get("end_of_word_suffix") and not model.get("ignore_merges") and not model.get("byte_fallback")
+        and all(t.get("normalized") is not None for t in settings.get("added_tokens") or []))
+
+
+def encoder(tokenizer_json: str, width: int) -> WordIds | WholeIds:
+    """The ids that the library gives each text, by way of its words where the file permits that."""
     from tokenizers import Tokenizer
 
+    settings, tokenizer = json.loads(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+    if not cuts_at_blanks(settings):
+        return WholeIds(tokenizer, width)
+    return WordIds(tokenizer, width, [t["content"] for t in settings.get("added_tokens") or []])
+
+
+def _memory(tokenizer_json: str, width: int) -> WordIds | WholeIds:
+    """The memory of this worker process, which its later tasks go on with."""
     held = sys.modules.setdefault("gristmill_worker_memory", ModuleType("gristmill_worker_memory"))
     key = f"{width}-{hash(tokenizer_json)}"
     if key not in vars(held):
-        tokenizer = Tokenizer.from_str(tokenizer_json)
-        tokenizer.encode_special_tokens = True
-        setattr(held, key, WordIds(tokenizer, width))
+        setattr(held, key, encoder(tokenizer_json, width))
     return getattr(held, key)
 
 
@@ -278,6 +311,13 @@ class _Write:
             yield self._flush(place, number, rows)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and host of its file system, by default the session's."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^file:/(?!//)", "file:///", full)
+
+
 def write_token_files(
     docs: DataFrame, tokenizer_file: str, folder: str | None = None, end_id: int = 0,
     id_col: str = "doc_id", text_col: str = "text",
@@ -288,12 +328,11 @@ def write_token_files(
     so it has the end id only. Rows without an id come first; rows with the same id stand
     in the order of a hash of their texts. An empty table gives an empty manifest. Other
     columns are not read. The tokenizer file is read on the driver and sent with the job.
-    Strings of special tokens inside texts are ordinary text.
+    Texts have the ids that the library gives them, added tokens inside them included. A
+    folder without a scheme is one of the session's default file system.
     """
     spark = docs.sparkSession
-    folder = folder or new_path(spark, "tokens")
-    if "://" not in folder:
-        folder = f"file://{folder}" if not folder.startswith("file:") else folder.replace("file:", "file://", 1)
+    folder = qualified(spark, folder or new_path(spark, "tokens"))
     with open(tokenizer_file, encoding="utf-8") as file:
         text = file.read()
     size = 1 + max(json.loads(text)["model"]["vocab"].values())
@@ -332,10 +371,13 @@ class _Read:
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the shards listed.
 
-    Shards are put in order by one window over the manifest, which has one row per shard.
+    Shards are put in order by one window over the manifest, which has one row per shard,
+    and read by a task for about every ``READ_IDS`` ids.
     """
     manifest = spark.read.parquet(f"{folder}/manifest")
+    shards, ids = manifest.agg(F.count("*"), F.coalesce(F.sum("n_ids"), F.lit(0))).first()
+    tasks = max(1, min(shards, -(-ids // READ_IDS)))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    return placed.select("path", "start").repartition(F.col("path")).mapInArrow(
+    return placed.select("path", "start").repartition(tasks, "path").mapInArrow(
         _Read(f"{folder}/shards"), "doc_id long, start long, n_tokens long, ids_crc32 long")
