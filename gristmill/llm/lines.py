@@ -30,6 +30,11 @@ def _shared(rows: DataFrame, label: str) -> DataFrame:
     return stage(join_groups(rows, buckets, ["_bucket"], "_weight", ["_key", "_pos"]), label)
 
 
+def _identity(*values: Column) -> Column:
+    # Two hashes of 64 bits; the second one starts from another seed.
+    return F.struct(F.xxhash64(*values).alias("a"), F.xxhash64(F.lit(1), *values).alias("b"))
+
+
 class _Delete:
     """mapInArrow over (id, text, lines of runs): text without them, and the runs."""
 
@@ -67,7 +72,7 @@ def delete_repeated_lines(
 
     A run is ``min_lines`` or more lines in a row that also stand, in that order, earlier:
     in a document with a smaller id (a missing id is the largest) or further up in the
-    same one. Lines are compared exactly. Blank lines are kept and passed over, so a run
+    same one. Lines are compared by 128 bits of hashes. Blank lines are kept and passed over, so a run
     may go across them. ``runs`` lists the deleted ones (``first_line`` from 0, and how
     many lines). Null and empty texts stay as they are. Rows with the same id and text
     are one document and get the same result. An empty table gives an empty result; other
@@ -76,12 +81,12 @@ def delete_repeated_lines(
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text")).withColumn(
         "_id", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn(
         "_key", F.unhex(F.md5(F.concat(F.col("_id").cast("string"), F.lit(" "), F.coalesce("_text", F.lit(""))).cast("binary"))))
-    lines = base.select("_key", "_id", F.posexplode(F.transform(_solid_lines(F.col("_text")), lambda x: F.xxhash64(x))).alias("_pos", "_bucket"))
+    lines = base.select("_key", "_id", F.posexplode(F.transform(_solid_lines(F.col("_text")), lambda line: _identity(line))).alias("_pos", "_bucket"))
     rows, depth = _shared(lines.dropDuplicates(["_key", "_pos"]), "depth-1").drop("_first"), 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)
         later = rows.select("_key", (F.col("_pos") - step).alias("_pos"), F.col("_bucket").alias("_later"))
-        paired = rows.join(later, ["_key", "_pos"]).withColumn("_bucket", F.xxhash64("_bucket", "_later")).drop("_later")
+        paired = rows.join(later, ["_key", "_pos"]).withColumn("_bucket", _identity(F.col("_bucket"), F.col("_later"))).drop("_later")
         depth += step
         rows = _shared(paired, f"depth-{depth}")
         if depth < min_lines:

@@ -60,9 +60,11 @@ def balance(cells: DataFrame, targets: DataFrame, most_rounds: int = 60) -> Data
     and the curvature ``tokens * exp(tilt)`` over the cells; as no document is in two
     constraints the Hessian is diagonal and each constraint takes its own step. Steps are
     at most 1 (damped), and rounds end when all constraints are met. ``cells`` has
-    ``_key, _tokens``. A target of 0 has rate 0.
+    ``_key, _tokens``; ``targets`` may have rates to begin with, ``_start``. A target of 0
+    has rate 0.
     """
-    state = targets.withColumn("_tilt", F.lit(0.0))
+    start = F.when(F.col("_start") > 0, F.log("_start")).otherwise(F.lit(0.0)) if "_start" in targets.columns else F.lit(0.0)
+    state = targets.withColumn("_tilt", start).drop("_start")
     for _ in range(most_rounds):
         sums = cells.join(state.select("_key", "_tilt"), "_key").groupBy("_key").agg(
             F.sum(F.col("_tokens") * F.exp("_tilt")).alias("_taken"))
@@ -71,7 +73,7 @@ def balance(cells: DataFrame, targets: DataFrame, most_rounds: int = 60) -> Data
         open_ = (F.col("_target") > 0) & (F.abs(gap) > F.col("_target") * TOLERANCE)
         if state.filter(open_).isEmpty():
             break
-        step = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -gap / F.col("_taken")))
+        step = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(-gap, F.col("_taken"))))
         state = state.withColumn("_tilt", F.when(open_, F.col("_tilt") + step).otherwise(F.col("_tilt")))
         state = state.drop("_taken")
     rate = F.when(F.col("_target") > 0, F.exp("_tilt")).otherwise(F.lit(0.0))
@@ -99,8 +101,8 @@ def mix_sources(
     """``doc_id, size, source_size, target, taken`` and ``copies`` for every row.
 
     Rates come from :func:`balance`; they become whole copies, at most ``most`` of a
-    document. Rounding goes from large to small documents: each tier of a source aims at
-    what the tiers before have left open, and inside a tier documents are rounded in size
+    document. Rounding goes from large to small documents: what the tiers before have left
+    open is balanced anew over the rest, and inside a tier documents are rounded in size
     order, so that a source misses its target by about half a document of its smallest
     tier. The rule is the same at every size.
 
@@ -127,14 +129,18 @@ def mix_sources(
     for number in range(len(TIERS) + 1):
         part = rows.filter(F.col("_tier") == number)
         if number:
-            rate = F.when(F.col("_left") > 0, F.round(F.col("_open") / F.col("_left"), 12)).otherwise(F.lit(0.0))
-            rest = rest.withColumn("_rate", F.greatest(F.lit(0.0), F.least(F.lit(most), rate)))
+            # What rounding left open is balanced again over the documents that are left.
+            open_ = F.greatest(F.lit(0.0), F.least(F.col("_open"), F.col("_left") * most))
+            again = balance(
+                rest.select("_key", F.col("_left").cast("double").alias("_tokens")),
+                rest.select("_key", F.col("_left").alias("_total"), open_.alias("_target"), F.col("_rate").alias("_start")))
+            rest = stage(rest.drop("_rate").join(again.select("_key", "_rate"), "_key"), "rates")
         rounded = stage(_round_tier(part, rest.select("_key", "_rate"), most), "rounded")
         done = rounded if done is None else done.unionByName(rounded)
         sums = rounded.groupBy("_key").agg(
             F.sum(F.col("_size") * F.col("_copies")).alias("_taken"), F.sum("_size").alias("_had"))
         rest = stage(rest.join(sums, "_key", "left").select(
-            "_key", (F.col("_open") - F.coalesce("_taken", F.lit(0))).alias("_open"),
+            "_key", "_rate", (F.col("_open") - F.coalesce("_taken", F.lit(0))).alias("_open"),
             (F.col("_left") - F.coalesce("_had", F.lit(0))).alias("_left")), "open")
     return done.select(
         "doc_id", F.col("_size").alias("size"), F.col("_total").cast("long").alias("source_size"),

@@ -182,3 +182,17 @@ def test_query_finds_what_a_search_of_every_pair_finds(spark):
     loaded = decontaminate.load_items(spark.createDataFrame(items, "item_id long, text string"))
     found = decontaminate.find_items(spark.createDataFrame(docs, "doc_id long, text string"), loaded).collect()
     assert {(r.doc_id, r.item_id): r.distance for r in found} == want and len(want) > 3
+
+
+def test_the_mix_depends_on_its_balance(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(k, "w " * int(rng.integers(1, 60)), f"s{k % 3}") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def gaps():
+        by = mixing.mix_sources(docs).groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+        return max(abs(r.taken - r.target) / r.target for r in by)
+
+    assert gaps() < 0.01
+    monkeypatch.setattr(mixing, "balance", lambda cells, targets: targets.withColumn("_rate", F.lit(1.0)))
+    assert gaps() > 0.05
