@@ -7,7 +7,6 @@ the next one but its rows.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +67,9 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text has the end id alone; repeated rows are documents of their own.
     """
+    # The path of the tokenizer file is a parameter; its module is needed by this stage only.
+    import public_tokenizers
+
     folder = token_file.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return token_file.read_token_files(spark, folder)
 

@@ -93,8 +93,11 @@ def _class_of(char: str) -> str:
     return char if char in "/+=:_ " else ""
 
 
-_SEGMENT = regex.compile(r"[A-Za-z\p{Nd}\p{Pd}/+=:_ ]+")
-_COUNTED = regex.compile(r"[\p{Nd}\p{Pd}/+=:_]")
+_MARK_GROUPS = regex.compile(r"[\p{Nd}\p{Pd}/+=:_]+")
+_DIGIT_GROUPS = regex.compile(r"\p{Nd}+")
+# What stands between the groups of one key: letters, or capitals, dashes and blanks.
+_ASCII_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_GAPS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ " + "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Pd")
 _LETTERS, _MARKS, _FIRST_MARKS = frozenset("Ul"), frozenset("dp/+=:_"), frozenset("dp/+=:")
 
 
@@ -231,16 +234,50 @@ class _Segment:
         return -1
 
 
+def _clusters(text: str, groups: regex.Pattern, between: str, least: int) -> list[tuple[int, int]]:
+    """Spans of ``groups`` with nothing but ``between`` among and around them, that have ``least`` characters in groups.
+
+    Every gap of the text is looked at from both sides once.
+    """
+    spans = [m.span() for m in groups.finditer(text)]
+    out, k = [], 0
+    while k < len(spans):
+        first, last = spans[k]
+        size, before = last - first, spans[k - 1][1] if k else 0
+        k += 1
+        while k < len(spans) and not text[last:spans[k][0]].strip(between):
+            size += spans[k][1] - spans[k][0]
+            last = spans[k][1]
+            k += 1
+        if size >= least:
+            after = text[last:spans[k][0] if k < len(spans) else len(text)]
+            left = len(text[before:first].rstrip(between)) + before
+            out.append((left, last + len(after) - len(after.lstrip(between))))
+    return out
+
+
+def _runs(text: str) -> list[tuple[int, int]]:
+    """Where keys may be: four marks among letters, or three digits among capitals, dashes and blanks."""
+    found = sorted(
+        _clusters(text, _MARK_GROUPS, _ASCII_LETTERS, 4) + _clusters(text, _DIGIT_GROUPS, _GAPS, 3))
+    out: list[tuple[int, int]] = []
+    for first, last in found:
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(last, out[-1][1]))
+        else:
+            out.append((first, last))
+    return out
+
+
 def key_hits(text: str) -> list[tuple[str, int, int]]:
     """``(value, start, end)`` of each key, as ``KEY`` finds them; spans include the boundaries.
 
-    A key lies within a run of key characters that has three digits or marks at least;
-    only such runs are looked at, each in time linear in its length.
+    Only the places that have enough digits or marks close together are looked at, each
+    in time linear in its length.
     """
     hits, done = [], 0
-    for run in _SEGMENT.finditer(text):
-        first, last = run.span()
-        if last < done or not _enough(run.group()):
+    for first, last in _runs(text):
+        if last < done:
             continue
         segment = _Segment(text, first, last)
         at = max(first, done)
@@ -258,8 +295,3 @@ def key_hits(text: str) -> list[tuple[str, int, int]]:
             hits.append((text[at:end], begin, done))
             at = max(done, at)
     return hits
-
-
-def _enough(run: str) -> bool:
-    return len(run) > 2 and next(
-        (True for k, _ in enumerate(_COUNTED.finditer(run), 1) if k == 3), False)

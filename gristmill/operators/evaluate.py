@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import text as tx
 from gristmill.operators.word_units import han_runs, segmenter
+from gristmill.staging import stage
 
 # ---- fixed values --------------------------------------------------------
 ASPECTS = ["语言质量", "信息量", "新颖性", "连贯性", "纯净度"]
@@ -165,25 +166,25 @@ def score_density(df: DataFrame, points: int = 200, cut: float = 3.0) -> DataFra
     """``(aspect, point, x, density)``: Gaussian density with Scott's bandwidth.
 
     The grid reaches ``cut`` bandwidths beyond the scores. Aspects with a single score
-    value have no density. Work is one row per distinct score and grid point.
+    value have no density. Work is one row per distinct score and grid point; no row holds
+    the scores of an aspect.
     """
-    counts = aspect_scores(df)
+    counts = stage(aspect_scores(df), "scores")
     moments = counts.groupBy("aspect").agg(
         F.sum("n").alias("total"),
         F.sum(F.col("n") * F.col("score")).alias("s1"),
         F.sum(F.col("n") * F.col("score") * F.col("score")).alias("s2"),
         F.min("score").alias("a"), F.max("score").alias("b"),
-        F.collect_list(F.struct("score", "n")).alias("scores"),
     ).filter("b > a")
     variance = (F.col("s2") - F.col("s1") * F.col("s1") / F.col("total")) / (F.col("total") - 1)
     bandwidth = F.sqrt(variance) * F.pow(F.col("total").cast("double"), F.lit(-0.2))
-    grid = moments.withColumn("h", bandwidth).select(
-        "aspect", "total", "h", "scores",
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+    ends = moments.withColumn("h", bandwidth).select(
+        "aspect", "total", "h",
         (F.col("a") - cut * F.col("h")).alias("left"), (F.col("b") + cut * F.col("h")).alias("right"),
     )
+    grid = counts.join(ends, "aspect").withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     x = F.col("left") + F.col("point") * (F.col("right") - F.col("left")) / (points - 1)
-    placed = grid.withColumn("x", x).select("aspect", "point", "x", "total", "h", F.inline("scores"))
+    placed = grid.withColumn("x", x)
     z = (F.col("x") - F.col("score")) / F.col("h")
     kernel = F.col("n") * F.exp(-0.5 * z * z)
     return placed.groupBy("aspect", "point", "x", "total", "h").agg(

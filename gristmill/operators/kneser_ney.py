@@ -14,6 +14,8 @@ model has its probability, any other one ``b(h)`` times that of the next shorter
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,8 +32,11 @@ ORDER = 5
 FALLBACK = (0.5, 1.0, 1.5)
 
 
-def _padded(text_col: str) -> Column:
-    return F.concat(F.array(F.lit(START)), words(text_col), F.array(F.lit(END)))
+Units = Callable[[str], Column]
+
+
+def _padded(text_col: str, units: Units) -> Column:
+    return F.concat(F.array(F.lit(START)), units(text_col), F.array(F.lit(END)))
 
 
 def _grams(tokens: Column, n: int, first: Column, count: Column) -> Column:
@@ -49,9 +54,11 @@ def _prefix(gram: Column, n: int) -> Column:
     return F.substring_index(gram, " ", n - 1) if n > 1 else F.lit("")
 
 
-def adjusted_counts(df: DataFrame, order: int = ORDER, text_col: str = "text") -> list[DataFrame]:
+def adjusted_counts(
+    df: DataFrame, order: int = ORDER, text_col: str = "text", units: Units = words
+) -> list[DataFrame]:
     """``(gram, a)`` of orders 1 to ``order``, as written tables; ``<s>`` is no word."""
-    tokens = spread(df.select(text_col)).select(_padded(text_col).alias("_tokens"))
+    tokens = spread(df.select(text_col)).select(_padded(text_col, units).alias("_tokens"))
     size = F.size("_tokens")
     one = F.lit(1)
     whole = tokens.select(F.explode(_grams(F.col("_tokens"), order, one, size - (order - 1))).alias("gram"))
@@ -75,14 +82,17 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     return found if all(0 <= d <= k + 1 for k, d in enumerate(found)) else FALLBACK
 
 
-def train_kneser_ney(df: DataFrame, order: int = ORDER, text_col: str = "text") -> DataFrame:
+def train_kneser_ney(
+    df: DataFrame, order: int = ORDER, text_col: str = "text", units: Units = words
+) -> DataFrame:
     """``(n, gram, log10_prob, log10_backoff)``, one row per n-gram of orders 1 to ``order``.
 
     The row of order 0 is the unseen word. ``<s>`` has no probability, and an n-gram that
-    nothing follows has no back-off. N-grams are strings of words joined by blanks; only
+    nothing follows has no back-off. ``units`` gives the tokens of a text, by default its
+    words; see :mod:`gristmill.functions.subwords`. N-grams are strings of words joined by blanks; only
     they are shuffled, and the rows of frequent contexts and endings are spread over salts.
     """
-    counts = adjusted_counts(df, order, text_col)
+    counts = adjusted_counts(df, order, text_col, units)
     vocabulary = counts[0].count() + 1
     lower, out, contexts = None, [], []
     for n, table in enumerate(counts, 1):
@@ -132,8 +142,8 @@ def _hash(tokens) -> np.ndarray:
     return pd.util.hash_array(np.asarray(tokens, object)) if len(tokens) else np.zeros(0, np.uint64)
 
 
-def _row_log10(model: DataFrame, text_col: str) -> Column:
-    """Sum of the log probabilities of a text in its row, from a model as sorted arrays of hashed n-grams."""
+def _row_perplexity(model: DataFrame, text_col: str, units: Units) -> Column:
+    """Perplexity of a text in its row, from a model as sorted arrays of hashed n-grams."""
     rows = model.toPandas()
     order = int(rows["n"].max())
     tables = []
@@ -189,12 +199,16 @@ def _row_log10(model: DataFrame, text_col: str) -> Column:
         return pd.Series(np.add.reduceat(value, first) if len(first) else np.zeros(0, np.int64))
 
     # Not deterministic for the planner only, which then leaves the call where it is.
-    return log10_sum.asNondeterministic()(words(text_col))
+    found = units(text_col)
+    return F.transform(F.array(F.struct(log10_sum.asNondeterministic()(found).alias("sum"), F.size(found).alias("n"))),
+                       lambda s: _perplexity_of(s["sum"], s["n"] + 1))[0]
 
 
-def _log10_by_join(texts: DataFrame, model: DataFrame, order: int, text_col: str, id_col: str, min_hot_rows: int) -> DataFrame:
+def _log10_by_join(
+    texts: DataFrame, model: DataFrame, order: int, text_col: str, id_col: str, units: Units, min_hot_rows: int
+) -> DataFrame:
     """``(id, log10_sum, length)``: every distinct window of tokens backs off until the model holds it."""
-    tokens = texts.select(id_col, _padded(text_col).alias("_tokens"))
+    tokens = texts.select(id_col, _padded(text_col, units).alias("_tokens"))
     window = F.transform(
         F.sequence(F.lit(2), F.size("_tokens")),
         lambda i: F.array_join(F.slice("_tokens", F.greatest(i - (order - 1), F.lit(1)), F.least(i, F.lit(order))), " "))
@@ -234,6 +248,7 @@ def perplexity_kneser_ney(
     model: DataFrame,
     text_col: str = "text",
     id_col: str = "doc_id",
+    units: Units = words,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
@@ -246,10 +261,9 @@ def perplexity_kneser_ney(
     model = stage(_integers(model), "model")
     texts = spread(df.select(id_col, text_col), id_col)
     if model.count() <= max_broadcast_rows:
-        return texts.select(
-            id_col, _perplexity_of(_row_log10(model, text_col), F.size(words(text_col)) + 1).alias("perplexity"))
+        return texts.select(id_col, _row_perplexity(model, text_col, units).alias("perplexity"))
     order = model.agg(F.max("n")).first()[0]
-    sums = _log10_by_join(texts, model, order, text_col, id_col, min_hot_rows)
+    sums = _log10_by_join(texts, model, order, text_col, id_col, units, min_hot_rows)
     return sums.select(id_col, _perplexity_of(F.col("log10_sum"), F.col("length")).alias("perplexity"))
 
 
@@ -259,14 +273,14 @@ def perplexity_filter_kneser_ney(
     max_perplexity: float = MAX_PERPLEXITY,
     text_col: str = "text",
     id_col: str = "doc_id",
+    units: Units = words,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Keep the rows whose perplexity is at most the limit; in the row when the model fits."""
     model = stage(model, "model")
     if model.count() <= max_broadcast_rows:
         held = stage(_integers(model), "model")
-        found = _perplexity_of(_row_log10(held, text_col), F.size(words(text_col)) + 1)
-        return df.filter(found <= max_perplexity)
-    scores = perplexity_kneser_ney(df, model, text_col, id_col, max_broadcast_rows)
+        return df.filter(_row_perplexity(held, text_col, units) <= max_perplexity)
+    scores = perplexity_kneser_ney(df, model, text_col, id_col, units, max_broadcast_rows)
     worse = stage(scores.filter(F.col("perplexity") > max_perplexity).select(id_col), "perplexed")
     return df.join(worse, id_col, "left_anti")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions import subwords
 from gristmill.operators import evaluate, plumbing, word_units
 from gristmill.queries.common import quote, strip_sql, table
 
@@ -109,6 +110,13 @@ def _truncated(spark, folder) -> DataFrame:
     return docs.select("doc_id", evaluate.truncate_tokens("text", 100).alias("text"))
 
 
+def _truncated_units(spark, folder) -> DataFrame:
+    import public_tokenizers
+
+    cut = subwords.truncate_units("text", public_tokenizers.path("byte_bpe_50k.json"), 100)
+    return table(spark, folder, "documents").select("doc_id", cut.alias("text"))
+
+
 def _prompts(spark, folder) -> DataFrame:
     docs = table(spark, folder, "documents")
     return evaluate.build_prompts(docs, _TEMPLATE).select("doc_id", "prompt")
@@ -194,6 +202,7 @@ QUERIES = {
     "e01_sample_documents": (
         _sampled, "SELECT doc_id, text FROM documents ORDER BY md5('1234:' || doc_id), doc_id LIMIT 10"),
     "e02_truncate_tokens": (_truncated, f"SELECT doc_id, {_cut(100)} AS text FROM documents"),
+    "e02_truncate_subwords": (_truncated_units, None),
     "e03_build_prompts": (
         _prompts,
         f"SELECT doc_id, replace({quote(_TEMPLATE)}, '{{corpus}}', {_cut(1000)}) AS prompt "

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions import subwords
 from gristmill.operators import classify, filters, kneser_ney, langid, ngram_lm
 from gristmill.queries.common import lm_normalize_sql, strip_sql, table
 from gristmill.queries.text import _FIXED as FIXED
@@ -204,6 +205,15 @@ def _perplexity_5_filter(spark, folder) -> DataFrame:
     return found.select("doc_id", "text", "lang")
 
 
+def _perplexity_of_units(spark, folder) -> DataFrame:
+    # The path of the tokenizer file is a parameter; its module is needed here only.
+    import public_tokenizers
+
+    units = subwords.units(public_tokenizers.path("byte_bpe_50k.json"))
+    model = kneser_ney.train_kneser_ney(table(spark, folder, "benchmark"), units=units)
+    return kneser_ney.perplexity_kneser_ney(table(spark, folder, "documents"), model, units=units)
+
+
 def _lm(spark, folder) -> DataFrame:
     return ngram_lm.train_ngram_lm(table(spark, folder, "benchmark"))
 
@@ -271,6 +281,7 @@ QUERIES = {
         _perplexity_5_filter,
         f"{_kneser_ney_perplexity_sql(kneser_ney.ORDER)} SELECT doc_id, text, lang FROM documents "
         "JOIN perplexities USING (doc_id) WHERE perplexity <= 800"),
+    "l07_perplexity_subwords": (_perplexity_of_units, None),
     "c01_relevance_filter": (_relevance, None),
     "c02_risk_filter": (_risk, None),
 }

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from gristmill.functions import encoding
+from gristmill.functions import encoding, subwords
 from gristmill.operators import evaluate, filters, kneser_ney, plumbing, script, simhash, word_units
 from gristmill.plans.corpus import clean_corpus
 from gristmill.sources import jsonl
@@ -238,3 +238,28 @@ def test_frequent_words_of_a_made_corpus_are_found(spark):
     # Without learned words a run is one word.
     assert max(len(r.word) for r in evaluate.word_frequencies(docs).collect()) > 20
     assert word_units.learn_words(docs.filter("doc_id > 299")).count() == 0
+
+
+# Sub-word units
+
+def test_texts_are_cut_after_whole_units_and_models_take_units(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["some words and more words " * 20, " short \n", "", None, "\U0001f600" * 40, "é" * 100, "中文字" * 30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cut = {r.doc_id: r.text for r in docs.select("doc_id", subwords.truncate_units("text", path, 10).alias("text")).collect()}
+    for k, text in enumerate(texts):
+        ids = library.encode((text or "").strip(), add_special_tokens=False).ids
+        if text is None or len(ids) <= 10:
+            assert cut[k] == text
+        else:
+            whole = library.decode(ids[:10]).rstrip("�")
+            assert cut[k] == whole and text.strip().startswith(cut[k]) and cut[k]
+    units = subwords.units(path)
+    model = kneser_ney.train_kneser_ney(docs, 3, units=units)
+    small = {r.doc_id: r.perplexity for r in kneser_ney.perplexity_kneser_ney(docs, model, units=units).collect()}
+    joined = {r.doc_id: r.perplexity for r in kneser_ney.perplexity_kneser_ney(docs, model, units=units, max_broadcast_rows=0).collect()}
+    assert small == joined and len(small) == len(texts) and small[0] < small[1]
