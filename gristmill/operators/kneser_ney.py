@@ -160,8 +160,8 @@ def _row_perplexity(model: DataFrame, text_col: str, units: Units) -> Column:
     unseen = int(rows["p"][rows["n"] == 0].iloc[0])
     shared = model.sparkSession.sparkContext.broadcast((tables, unseen, _hash([START, END])))
 
-    @F.pandas_udf("bigint")
-    def log10_sum(tokens: pd.Series) -> pd.Series:
+    @F.pandas_udf("sum bigint, n int")
+    def log10_sum(tokens: pd.Series) -> pd.DataFrame:
         tables, unseen, (start, end) = shared.value
         sizes = tokens.map(len).to_numpy(int)
         ends = np.cumsum(sizes + 2)
@@ -196,12 +196,13 @@ def _row_perplexity(model: DataFrame, text_col: str, units: Units) -> Column:
             whole, there = look_up(key, (known, p, real))
             value = np.where(there, whole, value)
         value[first] = 0
-        return pd.Series(np.add.reduceat(value, first) if len(first) else np.zeros(0, np.int64))
+        sums = np.add.reduceat(value, first) if len(first) else np.zeros(0, np.int64)
+        return pd.DataFrame({"sum": sums, "n": sizes + 1})
 
-    # Not deterministic for the planner only, which then leaves the call where it is.
-    found = units(text_col)
-    return F.transform(F.array(F.struct(log10_sum.asNondeterministic()(found).alias("sum"), F.size(found).alias("n"))),
-                       lambda s: _perplexity_of(s["sum"], s["n"] + 1))[0]
+    # Not deterministic for the planner only, which then leaves the call where it is. Tokens
+    # are counted there, too, so that they are made once.
+    found = log10_sum.asNondeterministic()(units(text_col))
+    return F.transform(F.array(found), lambda s: _perplexity_of(s["sum"], s["n"]))[0]
 
 
 def _log10_by_join(
