@@ -105,7 +105,7 @@ def hash_below(share: float, *columns: Column) -> Column:
 
 
 def join_ids(
-    rows: DataFrame, ids: DataFrame, on: str, how: str = "inner", bytes_of: Column | None = None
+    rows: DataFrame, ids: DataFrame, on: str | list[str], how: str = "inner", bytes_of: Column | None = None
 ) -> DataFrame:
     """``rows`` joined to a written narrow table with unique ids.
 

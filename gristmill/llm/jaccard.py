@@ -230,7 +230,7 @@ def ngram_jaccard(
     copies = join_groups(known.select("doc_id", *digest), equal.filter("_weight > 1"), digest, "_weight", ["doc_id"])
     copies = stage(copies.filter("doc_id <> _hub").select("doc_id", *digest, "_hub").distinct(), "copies")
     # An id may have several texts; only the set that equals another one is left out.
-    single = known.join(copies.select("doc_id", *digest), ["doc_id", *digest], "left_anti")
+    single = join_ids(known, copies.select("doc_id", *digest), ["doc_id", *digest], "left_anti")
     blocks = stage(_blocks(single, percent), "blocks")
     sized = stage(single.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles")).join(blocks, "doc_id"), "sized")
     parts = sized.groupBy("_block").agg(
