@@ -58,17 +58,23 @@ def write_by_id(df: DataFrame, label: str, id_col: str, buckets: int) -> str:
     return name
 
 
+# A plan that reads more than this does not know what it reads.
+UNKNOWN_BYTES = 1 << 50
+
+
 def buckets_for(df: DataFrame) -> int | None:
     """Buckets of about one split each for a table too large for joins by id to be broadcast joins.
 
     An id is less than 1/200 of a document, so below 200 times the broadcast limit the ids
     of any share of the rows are broadcast, texts stay where they are, and no buckets are
-    needed.
+    needed. The size is that of the tables that the plan reads; where that is not known,
+    there are no buckets either.
     """
     session = df.sparkSession
     conf = session._jsparkSession.sessionState().conf()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size <= 200 * conf.autoBroadcastJoinThreshold() and conf.autoBroadcastJoinThreshold() > 0:
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size()))
+    if size > UNKNOWN_BYTES or 0 <= size <= 200 * conf.autoBroadcastJoinThreshold():
         return None
     return max(session.sparkContext.defaultParallelism, -(-size // conf.filesMaxPartitionBytes()))
 

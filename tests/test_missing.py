@@ -13,6 +13,7 @@ from gristmill.operators import evaluate, filters, kneser_ney, plumbing, script,
 from gristmill.plans.corpus import clean_corpus
 from gristmill.sources import jsonl
 from gristmill.sources.observed import RunLog
+from gristmill.staging import buckets_for
 
 
 SMALL = "/root/testdata/sf0.001"
@@ -263,3 +264,16 @@ def test_texts_are_cut_after_whole_units_and_models_take_units(spark):
     small = {r.doc_id: r.perplexity for r in kneser_ney.perplexity_kneser_ney(docs, model, units=units).collect()}
     joined = {r.doc_id: r.perplexity for r in kneser_ney.perplexity_kneser_ney(docs, model, units=units, max_broadcast_rows=0).collect()}
     assert small == joined and len(small) == len(texts) and small[0] < small[1]
+
+
+def test_buckets_follow_the_size_of_what_is_read(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1, "a")]), "doc_id long, text string")
+    assert buckets_for(docs) is None and buckets_for(unknown) is None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # A join does not multiply the sizes of its sides.
+        assert buckets_for(docs) == buckets_for(docs.crossJoin(docs.select("lang"))) == spark.sparkContext.defaultParallelism
+        assert buckets_for(unknown) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
