@@ -1,7 +1,7 @@
 """Sub-word units of a public tokenizer file, for cutting texts and for language models.
 
 The file is read on the driver and sent with the job; nothing is trained. Texts are
-encoded in Arrow batches by the ``tokenizers`` library.
+encoded in Arrow batches by the ``tokenizers`` library, a part of a batch at a time.
 """
 
 from __future__ import annotations
@@ -9,11 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions import text as tx
+from gristmill.functions.batches import joined, parts
+
+# Bytes of text that are encoded together; an encoding takes some hundred bytes a unit.
+ENCODED_BYTES = 1 << 18
 
 _loaded: dict[str, object] = {}
 
@@ -33,15 +38,25 @@ def _settings(tokenizer_file: str) -> str:
         return file.read()
 
 
+def _encoded(settings: str, texts: pa.Array) -> pa.Array:
+    """The units of each text; encodings and their strings are held for one part of the texts at a time."""
+    kind = pa.list_(pa.string())
+
+    def of_part(part: pa.Array) -> pa.Array:
+        found = _tokenizer(settings).encode_batch(part.to_pylist(), add_special_tokens=False)
+        # A blank would part the units of an n-gram.
+        return pa.array([[t.replace(" ", "▁") for t in e.tokens] for e in found], kind)
+
+    return joined([of_part(part) for part in parts(texts, ENCODED_BYTES)], kind)
+
+
 def units(tokenizer_file: str) -> Callable[[Column | str], Column]:
     """A function of a text column that gives its units, normalised as language models do."""
     settings = _settings(tokenizer_file)
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def encode(texts: pd.Series) -> pd.Series:
-        found = _tokenizer(settings).encode_batch(texts.tolist(), add_special_tokens=False)
-        # A blank would part the units of an n-gram.
-        return pd.Series([[t.replace(" ", "▁") for t in e.tokens] for e in found], dtype=object)
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def encode(texts: pa.Array) -> pa.Array:
+        return _encoded(settings, texts)
 
     def of(text: Column | str) -> Column:
         text = F.col(text) if isinstance(text, str) else text

@@ -17,12 +17,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.operators.ngram_lm import (
-    END, MAX_BROADCAST_ROWS, MAX_PERPLEXITY, SCALE, START, _perplexity_of, words,
+    END, MAX_BROADCAST_ROWS, MAX_PERPLEXITY, SCALE, START, _hash, _in_parts, _marked_hashes, _perplexity_of, words,
 )
 from gristmill.operators.skew import MIN_HOT_ROWS, join_groups
 from gristmill.staging import spread, stage
@@ -138,10 +138,6 @@ def _integers(model: DataFrame) -> DataFrame:
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hash(tokens) -> np.ndarray:
-    return pd.util.hash_array(np.asarray(tokens, object)) if len(tokens) else np.zeros(0, np.uint64)
-
-
 def _row_perplexity(model: DataFrame, text_col: str, units: Units) -> Column:
     """Perplexity of a text in its row, from a model as sorted arrays of hashed n-grams."""
     rows = model.toPandas()
@@ -160,23 +156,16 @@ def _row_perplexity(model: DataFrame, text_col: str, units: Units) -> Column:
     unseen = int(rows["p"][rows["n"] == 0].iloc[0])
     shared = model.sparkSession.sparkContext.broadcast((tables, unseen, _hash([START, END])))
 
-    @F.pandas_udf("sum bigint, n int")
-    def log10_sum(tokens: pd.Series) -> pd.DataFrame:
-        tables, unseen, (start, end) = shared.value
-        sizes = tokens.map(len).to_numpy(int)
-        ends = np.cumsum(sizes + 2)
-        first = ends - sizes - 2
-        full = np.empty(int(ends[-1]) if len(ends) else 0, np.uint64)
-        inner = np.ones(len(full), bool)
-        inner[ends - 1] = inner[first] = False
-        full[ends - 1], full[first] = end, start
-        full[inner] = _hash(np.concatenate([np.asarray(t, object) for t in tokens])) if inner.any() else 0
+    def score(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        tables, unseen, marks = shared.value
+        sizes, full = _marked_hashes(tokens, *marks)
+        first = np.cumsum(sizes + 2) - sizes - 2
         place = np.arange(len(full)) - np.repeat(first, sizes + 2)
         value, key = np.full(len(full), unseen, np.int64), np.zeros(len(full), np.uint64)
         power, context = np.uint64(1), None
         for n, (known, p, real, b) in enumerate(tables, 1):
             # The key of the last n tokens, and of the n - 1 before the last.
-            earlier = np.r_[np.zeros(n - 1, np.uint64), full[:len(full) - n + 1]]
+            earlier = np.r_[np.zeros(n - 1, np.uint64), full][:len(full)]
             context = np.r_[np.uint64(0), key[:-1]] if len(key) else key
             key = key + earlier * power
             power = np.uint64(int(power) * int(_ODD) & (1 << 64) - 1)
@@ -196,8 +185,11 @@ def _row_perplexity(model: DataFrame, text_col: str, units: Units) -> Column:
             whole, there = look_up(key, (known, p, real))
             value = np.where(there, whole, value)
         value[first] = 0
-        sums = np.add.reduceat(value, first) if len(first) else np.zeros(0, np.int64)
-        return pd.DataFrame({"sum": sums, "n": sizes + 1})
+        return np.add.reduceat(value, first), sizes + 1
+
+    @F.arrow_udf("sum bigint, n int")
+    def log10_sum(tokens: pa.Array) -> pa.Array:
+        return _in_parts(tokens, score)
 
     # Not deterministic for the planner only, which then leaves the call where it is. Tokens
     # are counted there, too, so that they are made once.
