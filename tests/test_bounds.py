@@ -1,9 +1,12 @@
 """What a task holds is bounded by bytes, not by the rows of a batch."""
 
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from gristmill.functions import batches, subwords
 from gristmill.operators import kneser_ney
+from gristmill.sources import wordlists
 
 
 def test_parts_are_bounded_and_whole():
@@ -42,3 +45,29 @@ def test_a_batch_with_one_short_text_has_a_perplexity_of_order_five(spark):
     rows = {r[0]: r[1] for r in kneser_ney.perplexity_kneser_ney(one.filter("doc_id = 1"), model).collect()}
     joined = {r[0]: r[1] for r in kneser_ney.perplexity_kneser_ney(one, model, max_broadcast_rows=0).collect()}
     assert rows == {1: joined[1]}
+
+
+def test_keyword_files_are_read_in_parts(spark, tmp_path):
+    lines = [f"word {k} 坏 ,".encode() for k in range(20000)]
+    ends = [b"\n", b"\r\n", b"\r"]
+    data = b"".join(line + ends[k % 3] for k, line in enumerate(lines))
+    (tmp_path / "a.txt").write_bytes(data)
+    (tmp_path / "b.txt").write_bytes(b"\xef\xbb\xbfmarked\nplain")
+    (tmp_path / "c.log").write_bytes(b"other")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = wordlists.load_keywords(spark, str(tmp_path))
+        got = [r["keyword"] for r in found.collect()]
+        plan = wordlists._lines(spark, str(tmp_path), "UTF-8")
+        rows = plan.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got) == sorted([f"word {k} 坏 " for k in range(20000)] + ["﻿marked", "plain"])
+    assert len(rows) > 4 and max(r["count"] for r in rows) < 10000
+
+
+@pytest.mark.parametrize("charset, data", [("UTF-8", b"a\xff\n"), ("GBK", b"a\n\xff\n"), ("UTF-16LE", b"a\0\n\0b")])
+def test_broken_keyword_files_are_errors(spark, tmp_path, charset, data):
+    (tmp_path / "a.txt").write_bytes(data)
+    with pytest.raises(Exception):
+        wordlists.load_keywords(spark, str(tmp_path), charset).collect()
