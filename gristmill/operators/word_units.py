@@ -9,13 +9,15 @@ of characters is a neighbour, too). Runs are cut into words by the most probable
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gristmill.functions.shingles import characters, ngrams
+from gristmill.functions.batches import joined, parts
 from gristmill.staging import spread, stage
 
 LONGEST = 4
@@ -26,6 +28,12 @@ MIN_ENTROPY = 1.0
 MAX_WORDS = 200_000
 # Marks of the beginning and the end of a run.
 BEGIN, END = "\u0002", "\u0003"
+# Characters whose strings a task counts together, about, and bytes whose words it makes together.
+COUNTED, CUT = 1 << 22, 1 << 20
+# So many of the longest runs of a part are cut one by one.
+FEW = 16
+# Distinct strings of a table that a task makes Python objects of at a time.
+NAMED = 1 << 16
 
 
 def han_runs(text: Column | str) -> Column:
@@ -34,17 +42,72 @@ def han_runs(text: Column | str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\p{IsHan}+"), F.lit(0))
 
 
+def _numbered(keys: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each key, which are below ``bound``, among the distinct ones, and how often each of those is there."""
+    if bound <= max(1 << 21, 4 * len(keys)):
+        times = np.bincount(keys, minlength=bound)
+        held = times > 0
+        return (np.cumsum(held, dtype=np.int32) - np.int32(1))[keys], times[held]
+    _, number, times = np.unique(keys, return_inverse=True, return_counts=True)
+    return number.astype(np.int32), times
+
+
+def _strings(points: np.ndarray, size: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Distinct strings of up to ``size`` characters within the runs, and how often they are there.
+
+    A string is numbered by the number of all but its last character and the number of that
+    one, so numbers stay small whatever the size. Strings that reach into the next run are
+    numbered, too, and left out at the end.
+    """
+    letter, times = _numbered(points, int(points.max()) + 1)
+    letters, ids = len(times), letter
+    for k in range(1, size + 1):
+        if k > 1:
+            if len(points) < k:
+                return
+            ids, times = _numbered(ids[:-1].astype(np.int64) * letters + letter[k - 1:], len(times) * letters)
+        place = np.empty(len(times), np.int64)
+        place[ids] = np.arange(len(ids))
+        for low in range(0, len(place), NAMED):
+            found = points[place[low:low + NAMED, None] + np.arange(k)]
+            inside = ~(found[:, :-1] == ord(END)).any(axis=1)
+            names = np.ascontiguousarray(found[inside]).view(f"<U{k}")[:, 0]
+            yield pa.array(names.tolist(), pa.string()), times[low:low + NAMED][inside]
+
+
+class _Counts:
+    """mapInArrow over texts of marked runs: (gram, n) of the strings of up to ``size`` characters."""
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for part in parts(batch.column(0)):
+                held.append(np.frombuffer("".join(part.to_pylist()).encode("utf-32-le"), "<u4"))
+                n += len(held[-1])
+                if n >= COUNTED:
+                    yield from self._counted(held)
+                    held, n = [], 0
+        if n:
+            yield from self._counted(held)
+
+    def _counted(self, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for grams, times in _strings(np.concatenate(held), self.size):
+            yield pa.RecordBatch.from_arrays([grams, pa.array(times, pa.int64())], ["gram", "n"])
+
+
 def gram_counts(df: DataFrame, longest: int = LONGEST, text_col: str = "text") -> DataFrame:
     """``(gram, n)`` of the strings of up to ``longest`` characters and one neighbour.
 
-    Equal runs are counted first, so frequent phrases are cut into strings once.
+    Texts are not shuffled: a task counts the strings of a few million characters as
+    integers and sends each distinct one once.
     """
-    runs = spread(df.select(text_col)).select(F.explode(han_runs(text_col)).alias("run"))
-    counted = runs.groupBy("run").agg(F.count("*").alias("n"))
-    marked = characters(F.concat(F.lit(BEGIN), F.col("run"), F.lit(END)))
-    grams = F.flatten(F.array(*[ngrams(F.col("_chars"), k, k, "") for k in range(1, longest + 2)]))
-    exploded = counted.select("n", marked.alias("_chars")).select("n", F.explode(grams).alias("gram"))
-    return exploded.groupBy("gram").agg(F.sum("n").alias("n"))
+    runs = F.trim(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"\P{IsHan}+", " "))
+    marked = F.concat(F.lit(BEGIN), F.replace(F.col("_runs"), F.lit(" "), F.lit(END + BEGIN)), F.lit(END))
+    texts = spread(df.select(text_col)).select(runs.alias("_runs")).filter("_runs <> ''").select(marked.alias("_runs"))
+    return texts.mapInArrow(_Counts(longest + 1), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _entropy(counts: DataFrame, inner: Column, name: str) -> DataFrame:
@@ -87,6 +150,92 @@ def learn_words(
     return words.join(cohesion, "gram").select(F.col("gram").alias("word"), "n", "cohesion", "entropy")
 
 
+class _Lexicon:
+    """Words as a trie in sorted arrays, and the most probable way to cut runs into them."""
+
+    def __init__(self, costs: dict[str, float], unknown: float):
+        self.unknown = unknown
+        words = sorted(costs)
+        self.letters = np.unique(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4"))
+        # Per size: the sorted keys (number of the shorter string, last letter), and their costs.
+        self.levels, nodes = [], {"": 0}
+        for size in range(1, max(map(len, words), default=0) + 1):
+            strings = sorted({w[:size] for w in words if len(w) >= size})
+            last = np.searchsorted(self.letters, [ord(x[-1]) for x in strings])
+            # Strings in order have keys in order, as the shorter ones were numbered in order.
+            keys = np.array([nodes[x[:-1]] for x in strings], np.int64) * len(self.letters) + last
+            self.levels.append((keys, np.array([costs.get(x, math.inf) for x in strings])))
+            nodes = {x: k for k, x in enumerate(strings)}
+
+    def _costs(self, points: np.ndarray) -> list[np.ndarray]:
+        """Per size, the cost of the word of that size from each place on."""
+        n, out = len(points), []
+        at = np.minimum(np.searchsorted(self.letters, points), max(0, len(self.letters) - 1))
+        letter = np.where(self.letters[at] == points, at, -1) if len(self.letters) else np.full(n, -1)
+        place, node = np.arange(n), np.zeros(n, np.int64)
+        for size, (keys, costs) in enumerate(self.levels, 1):
+            fits = place + size <= n
+            place, node = place[fits], node[fits]
+            last = letter[place + size - 1]
+            wanted = node * len(self.letters) + last
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            held = (keys[at] == wanted) & (last >= 0)
+            place, node = place[held], at[held]
+            cost = np.full(n, math.inf)
+            cost[place] = costs[node]
+            out.append(cost)
+        if not out:
+            out.append(np.full(n, math.inf))
+        out[0] = np.where(np.isinf(out[0]), self.unknown, out[0])
+        return out
+
+    def _steps(self, costs: list[list[float]]) -> list[int]:
+        """For one run: the size of the last word of the best way up to each character."""
+        best, out = [0.0], []
+        for end, cost in enumerate(costs[0], 1):
+            cost, size = best[end - 1] + cost, 1
+            for k in range(2, min(len(costs), end) + 1):
+                other = best[end - k] + costs[k - 1][end - k]
+                if other < cost:
+                    cost, size = other, k
+            best.append(cost)
+            out.append(size)
+        return out
+
+    def cut(self, runs: list[str]) -> list[list[str]]:
+        """The words of each run; the shortest last word is taken where costs are equal."""
+        text = "".join(runs)
+        costs = self._costs(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"))
+        length = np.array([len(r) for r in runs], np.int64)
+        start = np.cumsum(length) - length
+        order = np.argsort(-length, kind="stable")
+        step = np.ones(len(text), np.int64)
+        for k in order[:FEW].tolist():
+            here = slice(int(start[k]), int(start[k] + length[k]))
+            step[here] = self._steps([c[here].tolist() for c in costs])
+        # The others step by step together; the least costs of the last steps are kept.
+        first, sizes = start[order[FEW:]], length[order[FEW:]]
+        sums = [np.zeros(len(sizes))]
+        for at in range(1, int(sizes[0]) + 1 if len(sizes) else 1):
+            many = int(np.searchsorted(-sizes, -at, "right"))
+            place = first[:many] + at - 1
+            cost, size = sums[-1][:many] + costs[0][place], np.ones(many, np.int64)
+            for k in range(2, min(len(costs), at) + 1):
+                other = sums[-k][:many] + costs[k - 1][place - k + 1]
+                less = other < cost
+                cost[less], size[less] = other[less], k
+            step[place] = size
+            sums = [*sums[-len(costs):], cost]
+        back, out = step.tolist(), []
+        for begin, size, run in zip(start.tolist(), length.tolist(), runs):
+            found, end = [], size
+            while end:
+                found.append(run[end - back[begin + end - 1]:end])
+                end -= back[begin + end - 1]
+            out.append(found[::-1])
+        return out
+
+
 def segmenter(words: DataFrame, max_words: int = MAX_WORDS):
     """A function of an array of runs that gives their words, by the most probable path.
 
@@ -95,30 +244,23 @@ def segmenter(words: DataFrame, max_words: int = MAX_WORDS):
     """
     held = words.select("word", "n").orderBy(F.desc("n"), "word").limit(max_words).collect()
     total = sum(r["n"] for r in held) + 1
-    costs = {r["word"]: math.log(total / r["n"]) for r in held}
-    longest = max(map(len, costs), default=1)
-    shared = words.sparkSession.sparkContext.broadcast((costs, longest, math.log(2 * total)))
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut(runs: pd.Series) -> pd.Series:
-        known, most, unknown = shared.value
-
-        def one(run: str) -> list[str]:
-            best, step = [0.0], [0]
-            for end in range(1, len(run) + 1):
-                cost, size = best[end - 1] + known.get(run[end - 1], unknown), 1
-                for k in range(2, min(most, end) + 1):
-                    word = known.get(run[end - k:end])
-                    if word is not None and best[end - k] + word < cost:
-                        cost, size = best[end - k] + word, k
-                best.append(cost)
-                step.append(size)
-            out, at = [], len(run)
-            while at:
-                out.append(run[at - step[at]:at])
-                at -= step[at]
-            return out[::-1]
-
-        return runs.map(lambda found: [w for run in found for w in one(run)], na_action="ignore")
+    lexicon = _Lexicon({r["word"]: math.log(total / r["n"]) for r in held}, math.log(2 * total))
+    shared = words.sparkSession.sparkContext.broadcast(lexicon)
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def cut(runs: pa.Array) -> pa.Array:
+        return _cut_in_parts(shared.value, runs)
 
     return cut
+
+
+def _cut_in_parts(lexicon: _Lexicon, runs: pa.Array) -> pa.Array:
+    """The words of the runs of each row; they are Python strings for a part of the rows at a time."""
+    kind = pa.list_(pa.string())
+
+    def of_part(part: pa.Array) -> pa.Array:
+        rows = part.to_pylist()
+        found = iter(lexicon.cut([run for row in rows for run in row or ()]))
+        return pa.array([None if row is None else [w for _ in row for w in next(found)] for row in rows], kind)
+
+    return joined([of_part(part) for part in parts(runs, CUT)], kind)

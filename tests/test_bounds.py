@@ -1,11 +1,14 @@
 """What a task holds is bounded by bytes, not by the rows of a batch."""
 
+import random
+from collections import Counter
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from gristmill.functions import batches, subwords
-from gristmill.operators import kneser_ney
+from gristmill.operators import kneser_ney, word_units
 from gristmill.sources import wordlists
 
 
@@ -14,7 +17,8 @@ def test_parts_are_bounded_and_whole():
     found = [p.to_pylist() for p in batches.parts(texts, 4)]
     assert found == [["ab", None, ""], ["c" * 9], ["de", "f"]]
     lists = pa.array([["a"] * 3, [], None, ["b"] * 3, ["c"]])
-    assert [len(p) for p in batches.parts(lists, 4)] == [3, 2]
+    assert [len(p) for p in batches.parts(lists, 6)] == [3, 1, 1]
+    assert [len(p) for p in batches.parts(lists.slice(1), 6)] == [3, 1]
     assert list(batches.parts(texts.slice(0, 0), 4)) == []
     assert [p.to_pylist() for p in batches.parts(texts.slice(3, 2), 4)] == [["c" * 9], ["de"]]
 
@@ -71,3 +75,54 @@ def test_broken_keyword_files_are_errors(spark, tmp_path, charset, data):
     (tmp_path / "a.txt").write_bytes(data)
     with pytest.raises(Exception):
         wordlists.load_keywords(spark, str(tmp_path), charset).collect()
+
+
+def test_strings_are_counted_in_parts(spark, monkeypatch):
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("中文字词𠀀, a") for _ in range(draw.randrange(40))) for _ in range(200)] + ["", None, "  中"]
+    wanted = Counter()
+    for text in texts:
+        for run in "".join(c if c in "中文字词𠀀" else " " for c in text or "").split():
+            marked = word_units.BEGIN + run + word_units.END
+            wanted.update(marked[i:i + k] for k in range(1, 6) for i in range(len(marked) - k + 1))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    assert {r.gram: r.n for r in word_units.gram_counts(docs).collect()} == wanted
+    monkeypatch.setattr(word_units, "COUNTED", 50)
+    monkeypatch.setattr(word_units, "NAMED", 7)
+    monkeypatch.setattr(batches.parts, "__defaults__", (30,))
+    runs = [word_units.BEGIN + (word_units.END + word_units.BEGIN).join(
+        "".join(c if c in "中文字词𠀀" else " " for c in t or "").split()) + word_units.END for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array([r for r in runs if len(r) > 2])], ["_runs"])
+    found, most = Counter(), 0
+    for part in word_units._Counts(5)([batch, batch]):
+        most = max(most, part.num_rows)
+        found.update(dict(zip(part.column(0).to_pylist(), part.column(1).to_pylist())))
+    assert most <= 7 and found == {k: 2 * n for k, n in wanted.items()}
+
+
+def test_runs_are_cut_by_the_most_probable_path(monkeypatch):
+    draw = random.Random(7)
+    words = {"".join(draw.choice("中文字词") for _ in range(draw.randrange(1, 5))): draw.random() * 3 for _ in range(40)}
+
+    def one(run):
+        best, step = [0.0], [0]
+        for end in range(1, len(run) + 1):
+            found = [(best[end - 1] + words.get(run[end - 1], 2.5), 1)] + [
+                (best[end - k] + words[run[end - k:end]], k) for k in range(2, min(4, end) + 1) if run[end - k:end] in words]
+            cost, size = min(found)
+            best.append(cost)
+            step.append(size)
+        out, at = [], len(run)
+        while at:
+            out.append(run[at - step[at]:at])
+            at -= step[at]
+        return out[::-1]
+
+    rows = [None, []] + [["".join(draw.choice("中文字词典") for _ in range(draw.randrange(1, 30))) for _ in range(draw.randrange(5))] for _ in range(80)]
+    wanted = [None if row is None else [w for run in row for w in one(run)] for row in rows]
+    lexicon = word_units._Lexicon(words, 2.5)
+    for few, bytes_ in ((0, 1 << 20), (16, 1 << 20), (3, 100)):
+        monkeypatch.setattr(word_units, "FEW", few)
+        monkeypatch.setattr(word_units, "CUT", bytes_)
+        assert word_units._cut_in_parts(lexicon, pa.array(rows, pa.list_(pa.string()))).to_pylist() == wanted
+    assert word_units._Lexicon({}, 1.0).cut(["中文"]) == [["中", "文"]]
