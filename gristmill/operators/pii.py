@@ -21,13 +21,17 @@ from gristmill.operators.plumbing import sample_rows
 # values are replaced in it.
 DEFAULT_TAGS = ("EMAIL", "IP_ADDRESS", "KEY", "USER")
 ALL_TAGS = (*DEFAULT_TAGS, "ID", "IPv4", "IPv6")
+# What every address begins with, so that the many alternatives are tried at few places.
+_IPV4_AHEAD = r"(?=[0-9]{1,3}+\.)"
+_IPV6_AHEAD = r"(?=[0-9a-fA-F]{0,4}+:)"
+_ADDRESS_AHEAD = r"(?=[0-9]{1,3}+\.|[0-9a-fA-F]{0,4}+:)"
 _PATTERNS = {
     "EMAIL": pt.for_jvm(pt.EMAIL_LINEAR),
     "USER": pt.for_jvm(pt.USER),
-    "IP_ADDRESS": pt.for_jvm(f"{pt.OPENING}({pt.IPV4}|{pt.IPV6}){pt.CLOSING_IP}"),
+    "IP_ADDRESS": pt.for_jvm(f"{pt.OPENING}{_ADDRESS_AHEAD}({pt.IPV4}|{pt.IPV6}){pt.CLOSING_IP}"),
     "ID": pt.for_jvm(pt.OPENING + pt.ID_BODY + pt.OPENING.replace("^", "$")),
-    "IPv4": f"({pt.IPV4})",
-    "IPv6": f"({pt.IPV6})",
+    "IPv4": f"{_IPV4_AHEAD}({pt.IPV4})",
+    "IPv6": f"{_IPV6_AHEAD}({pt.IPV6})",
 }
 _NEEDED = {
     "EMAIL": r"@",
@@ -67,7 +71,8 @@ def _key_hits(texts: pd.Series) -> pd.Series:
 def _native_hits(text: Column, tag: str) -> Column:
     pattern = F.lit(_PATTERNS[tag])
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    values = F.regexp_extract_all(text, pattern, F.lit(1))
+    # These have no boundaries, so the match is the value.
+    values = whole if tag in ("IPv4", "IPv6") else F.regexp_extract_all(text, pattern, F.lit(1))
     gaps = F.split(text, _PATTERNS[tag], -1)
     rows = F.arrays_zip(
         whole.alias("whole"), values.alias("value"), F.slice(gaps, 1, F.size(whole)).alias("gap")

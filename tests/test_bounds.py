@@ -7,8 +7,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.functions import batches, subwords
-from gristmill.operators import kneser_ney, word_units
+from gristmill.functions import batches, patterns, subwords
+from gristmill.operators import kneser_ney, pii, word_units
 from gristmill.sources import wordlists
 
 
@@ -126,3 +126,24 @@ def test_runs_are_cut_by_the_most_probable_path(monkeypatch):
         monkeypatch.setattr(word_units, "CUT", bytes_)
         assert word_units._cut_in_parts(lexicon, pa.array(rows, pa.list_(pa.string()))).to_pylist() == wanted
     assert word_units._Lexicon({}, 1.0).cut(["中文"]) == [["中", "文"]]
+
+
+def test_address_patterns_look_ahead_and_find_the_same(spark):
+    draw = random.Random(11)
+    pieces = ["fe80::1%eth0", "::", ":", "1", "25", "255", "2001:db8::a:1", "abcd", "a", ".", "1.2.3.4", "256.1.1.1", "::ffff:1.2.3.4", " ", ",",
+              "g", "é", "中", "\n", "\x08", "1234.5.6.7", "fe80:", "%x", "12345:1:2"]
+    texts = ["".join(draw.choice(pieces) for _ in range(draw.randrange(1, 14))) for _ in range(3000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = {
+        "IPv4": f"({patterns.IPV4})", "IPv6": f"({patterns.IPV6})",
+        "IP_ADDRESS": patterns.for_jvm(f"{patterns.OPENING}({patterns.IPV4}|{patterns.IPV6}){patterns.CLOSING_IP}")}
+    for tag, pattern in plain.items():
+        assert "(?=" in pii._PATTERNS[tag]
+        found = docs.select("text", *[
+            F.regexp_extract_all("text", F.lit(p), F.lit(g)).alias(f"{n}{g}")
+            for n, p in (("was", pattern), ("now", pii._PATTERNS[tag])) for g in (0, 1)])
+        assert found.filter("was0 <> now0 OR was1 <> now1").count() == 0 < found.filter("size(was1) > 0").count()
+        hits = docs.select("text", F.explode(pii._native_hits(F.col("text"), tag)).alias("hit")).collect()
+        for row in hits:
+            assert row.hit.value in row.text[row.hit.start:row.hit.end]
+            assert tag == "IP_ADDRESS" or row.text[row.hit.start:row.hit.end] == row.hit.value
