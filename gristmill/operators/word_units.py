@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.functions.batches import joined, parts
+from gristmill.functions.tries import Trie, points_of
 from gristmill.staging import spread, stage
 
 LONGEST = 4
@@ -85,7 +86,7 @@ class _Counts:
         held, n = [], 0
         for batch in batches:
             for part in parts(batch.column(0)):
-                held.append(np.frombuffer("".join(part.to_pylist()).encode("utf-32-le"), "<u4"))
+                held.append(points_of("".join(part.to_pylist())))
                 n += len(held[-1])
                 if n >= COUNTED:
                     yield from self._counted(held)
@@ -151,42 +152,18 @@ def learn_words(
 
 
 class _Lexicon:
-    """Words as a trie in sorted arrays, and the most probable way to cut runs into them."""
+    """Words and their costs, and the most probable way to cut runs into them."""
 
     def __init__(self, costs: dict[str, float], unknown: float):
-        self.unknown = unknown
-        words = sorted(costs)
-        self.letters = np.unique(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4"))
-        # Per size: the sorted keys (number of the shorter string, last letter), and their costs.
-        self.levels, nodes = [], {"": 0}
-        for size in range(1, max(map(len, words), default=0) + 1):
-            strings = sorted({w[:size] for w in words if len(w) >= size})
-            last = np.searchsorted(self.letters, [ord(x[-1]) for x in strings])
-            # Strings in order have keys in order, as the shorter ones were numbered in order.
-            keys = np.array([nodes[x[:-1]] for x in strings], np.int64) * len(self.letters) + last
-            self.levels.append((keys, np.array([costs.get(x, math.inf) for x in strings])))
-            nodes = {x: k for k, x in enumerate(strings)}
+        self.unknown, self.longest = unknown, max(map(len, costs), default=1)
+        self.words, self.values = Trie(list(costs)), np.array(list(costs.values()), float)
 
     def _costs(self, points: np.ndarray) -> list[np.ndarray]:
         """Per size, the cost of the word of that size from each place on."""
-        n, out = len(points), []
-        at = np.minimum(np.searchsorted(self.letters, points), max(0, len(self.letters) - 1))
-        letter = np.where(self.letters[at] == points, at, -1) if len(self.letters) else np.full(n, -1)
-        place, node = np.arange(n), np.zeros(n, np.int64)
-        for size, (keys, costs) in enumerate(self.levels, 1):
-            fits = place + size <= n
-            place, node = place[fits], node[fits]
-            last = letter[place + size - 1]
-            wanted = node * len(self.letters) + last
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            held = (keys[at] == wanted) & (last >= 0)
-            place, node = place[held], at[held]
-            cost = np.full(n, math.inf)
-            cost[place] = costs[node]
-            out.append(cost)
-        if not out:
-            out.append(np.full(n, math.inf))
-        out[0] = np.where(np.isinf(out[0]), self.unknown, out[0])
+        out = [np.full(len(points), math.inf) for _ in range(self.longest)]
+        out[0][:] = self.unknown
+        for size, place, word in self.words.walk(points):
+            out[size - 1][place] = self.values[word]
         return out
 
     def _steps(self, costs: list[list[float]]) -> list[int]:
@@ -205,7 +182,7 @@ class _Lexicon:
     def cut(self, runs: list[str]) -> list[list[str]]:
         """The words of each run; the shortest last word is taken where costs are equal."""
         text = "".join(runs)
-        costs = self._costs(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"))
+        costs = self._costs(points_of(text))
         length = np.array([len(r) for r in runs], np.int64)
         start = np.cumsum(length) - length
         order = np.argsort(-length, kind="stable")

@@ -7,8 +7,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.functions import batches, patterns, subwords
-from gristmill.operators import kneser_ney, pii, word_units
+from gristmill.functions import batches, patterns, subwords, tries
+from gristmill.operators import kneser_ney, pii, script, word_units
 from gristmill.sources import wordlists
 
 
@@ -147,3 +147,27 @@ def test_address_patterns_look_ahead_and_find_the_same(spark):
         for row in hits:
             assert row.hit.value in row.text[row.hit.start:row.hit.end]
             assert tag == "IP_ADDRESS" or row.text[row.hit.start:row.hit.end] == row.hit.value
+
+
+def test_mapping_takes_the_longest_match_at_each_place():
+    draw = random.Random(13)
+    for _ in range(60):
+        pairs = {"".join(draw.choice("abc𠀀") for _ in range(draw.randrange(1, 5))): draw.choice(["", "x", "yz", "c"]) for _ in range(draw.randrange(1, 9))}
+        text = "".join(draw.choice("abc𠀀d") for _ in range(80))
+        out, at = [], 0
+        while at < len(text):
+            size = next((k for k in range(4, 0, -1) if text[at:at + k] in pairs and len(text[at:at + k]) == k), 0)
+            out.append(pairs[text[at:at + size]] if size else text[at])
+            at += size or 1
+        mapping = script.Mapping({"": "none", **pairs})
+        assert mapping.convert(text) == "".join(out) and mapping.convert("") == ""
+    assert script._converted(mapping, pa.array([None, text], pa.string())).to_pylist() == [None, "".join(out)]
+
+
+def test_a_trie_names_every_string_at_every_place():
+    draw = random.Random(17)
+    strings = sorted({"".join(draw.choice("ab𠀀") for _ in range(draw.randrange(1, 5))) for _ in range(20)})
+    text = "".join(draw.choice("ab𠀀c") for _ in range(300))
+    found = sorted((p, k, n) for k, place, number in tries.Trie(strings).walk(tries.points_of(text)) for p, n in zip(place.tolist(), number.tolist()))
+    assert found == sorted((p, len(x), n) for n, x in enumerate(strings) for p in range(len(text)) if text.startswith(x, p))
+    assert list(tries.Trie([]).walk(tries.points_of(text))) == []
