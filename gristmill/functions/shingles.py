@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 from hashlib import sha1
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gristmill.functions.batches import joined, parts
+
 # ---- fixed values --------------------------------------------------------
 PERMUTATION_SEED = 42
 MERSENNE_PRIME = (1 << 61) - 1
 MAX_HASH = (1 << 32) - 1
 # ---- end of fixed values -------------------------------------------------
 
-_BLOCK = 1 << 15
+_BLOCK = 1 << 12
 
 
 def ascii_tokens(text: Column | str) -> Column:
@@ -98,6 +101,50 @@ def spaced_tokens(text: Column | str, tokenizer: str = "ascii") -> Column:
     raise ValueError(f"unknown tokenizer: {tokenizer}")
 
 
+def _digests(spaced: str, n: int, min_length: int, size: int) -> Iterator[bytes]:
+    """The first ``size`` bytes of SHA-1 of every n-gram of tokens joined by spaces, in blocks."""
+    data = spaced.encode()
+    spaces = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 32).tolist()
+    starts, ends = [0, *[p + 1 for p in spaces]], [*spaces, len(data)]
+    if len(starts) < min_length:
+        return
+    last = ends[min(n, len(ends)) - 1 :]
+    for at in range(0, len(last), _BLOCK):
+        yield b"".join(
+            [sha1(data[s:e]).digest()[:size] for s, e in zip(starts[at : at + _BLOCK], last[at : at + _BLOCK])])
+
+
+def _modulo(numbers: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers modulo ``2**61 - 1``, without a division."""
+    prime = np.uint64(MERSENNE_PRIME)
+    folded = (numbers & prime) + (numbers >> np.uint64(61))
+    # A difference below zero wraps to a large number.
+    return np.minimum(folded, folded - prime)
+
+
+def bit_counts(spaced: Column, n: int) -> Column:
+    """Array of 65: how many n-grams there are, and in how many of their 64-bit hashes bit 0, 1, … 63 is set.
+
+    ``spaced`` holds the tokens joined by spaces; the hash is the first eight bytes of
+    SHA-1, the first one highest.
+    """
+
+    @F.arrow_udf("array<bigint>")
+    def counts(rows: pa.Array) -> pa.Array:
+        def one(row: str) -> np.ndarray:
+            out = np.zeros(65, np.int64)
+            for words in _digests(row, n, 1, 8):
+                bits = np.unpackbits(np.frombuffer(words, np.uint8).reshape(-1, 8), axis=1)
+                out[0] += len(bits)
+                out[1:] += bits.sum(axis=0, dtype=np.int64)[::-1]
+            return out
+
+        kind = pa.list_(pa.int64())
+        return joined([pa.array([one(row) for row in part.to_pylist()], kind) for part in parts(rows)], kind)
+
+    return counts(spaced)
+
+
 def minhash_signature(
     spaced: Column, n: int = 5, min_length: int = 5, num_perm: int = 25
 ) -> Column:
@@ -109,29 +156,19 @@ def minhash_signature(
     """
     pairs = np.array(permutations(num_perm), dtype=np.uint64)
 
-    @F.pandas_udf("array<bigint>")
-    def minima(rows: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<bigint>")
+    def minima(rows: pa.Array) -> pa.Array:
         a, b = pairs[:, :1], pairs[:, 1:]
 
         def one(row: str) -> np.ndarray:
-            data = row.encode()
-            spaces = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 32).tolist()
-            starts, ends = [0, *[p + 1 for p in spaces]], [*spaces, len(data)]
             low = np.full(num_perm, MAX_HASH, dtype=np.uint64)
-            if len(starts) < min_length:
-                return low.astype(np.int64)
-            last = ends[min(n, len(ends)) - 1 :]
-            for at in range(0, len(last), _BLOCK):
-                words = b"".join(
-                    [sha1(data[s:e]).digest()[:4] for s, e in
-                     zip(starts[at : at + _BLOCK], last[at : at + _BLOCK])]
-                )
+            for words in _digests(row, n, min_length, 4):
                 hashes = np.frombuffer(words, dtype="<u4").astype(np.uint64)
-                block = ((hashes * a + b) % np.uint64(MERSENNE_PRIME)) & np.uint64(MAX_HASH)
-                np.minimum(low, block.min(axis=1), out=low)
+                np.minimum(low, (_modulo(hashes * a + b) & np.uint64(MAX_HASH)).min(axis=1), out=low)
             return low.astype(np.int64)
 
-        return rows.map(one)
+        kind = pa.list_(pa.int64())
+        return joined([pa.array([one(row) for row in part.to_pylist()], kind) for part in parts(rows)], kind)
 
     return minima(spaced)
 
@@ -163,9 +200,15 @@ def character_jaccard(left: Column | str, right: Column | str, n: int = 8) -> Co
         text = text or ""
         return {text[i : i + n] for i in range(max(1, len(text) - n + 1))}
 
-    @F.pandas_udf("double")
-    def share(a: pd.Series, b: pd.Series) -> pd.Series:
-        pairs = ((windows(x), windows(y)) for x, y in zip(a, b))
-        return pd.Series([len(x & y) / len(x | y) for x, y in pairs], dtype="float64")
+    @F.arrow_udf("double")
+    def share(a: pa.Array, b: pa.Array) -> pa.Array:
+        out: list[float] = []
+        for part in parts(a):
+            other = b.slice(len(out), len(part))
+            for first, second in zip(part, other):
+                x, y = windows(first.as_py()), windows(second.as_py())
+                shared = len(x & y)
+                out.append(shared / (len(x) + len(y) - shared))
+        return pa.array(out, pa.float64())
 
     return share(left, right)

@@ -59,17 +59,15 @@ def simhash_signatures(
     """``(id, signature)`` of the texts with a word; the signature is a 64-bit integer.
 
     Bit k is set when it is set in more than half of the hashes of the n-grams, repeats
-    counted, that is when the signed sum of the bit is positive. The sums are one partial
-    aggregate: a task sends one row per document, whatever the length of its text.
+    counted, that is when the signed sum of the bit is positive. Bits are counted in the
+    row of a text; rows that share an id are one document, whose counts are added.
     """
-    tokens = shingles.ascii_tokens(text_col) if tokenizer == "ascii" else shingles.unicode_tokens(text_col)
-    grams = df.filter(F.col(id_col).isNotNull() & F.col(text_col).rlike(r"(?U)\w")).select(
-        id_col, F.explode(shingles.ngrams(tokens, ngram, 1)).alias("_gram"))
-    hashed = grams.select(id_col, F.conv(F.substring(F.sha1("_gram"), 1, 16), 16, -10).cast("bigint").alias("_hash"))
+    texts = df.filter(F.col(id_col).isNotNull() & F.col(text_col).rlike(r"(?U)\w"))
+    counted = texts.select(
+        id_col, shingles.bit_counts(shingles.spaced_tokens(text_col, tokenizer), ngram).alias("_counts"))
     bits = range(DEFAULT_BITS)
-    sums = hashed.groupBy(id_col).agg(
-        F.count("*").alias("_n"),
-        *[F.sum(F.shiftright("_hash", k).bitwiseAND(F.lit(1))).alias(f"_bit{k}") for k in bits])
+    sums = counted.groupBy(id_col).agg(
+        F.sum(F.col("_counts")[0]).alias("_n"), *[F.sum(F.col("_counts")[k + 1]).alias(f"_bit{k}") for k in bits])
     signature = F.lit(0).cast("bigint")
     for k in bits:
         signature = signature.bitwiseOR(F.when(F.col(f"_bit{k}") * 2 > F.col("_n"), F.lit(_signed(1 << k))).otherwise(F.lit(0)))

@@ -1,14 +1,17 @@
 """What a task holds is bounded by bytes, not by the rows of a batch."""
 
+import hashlib
 import random
+import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.functions import batches, patterns, subwords, tries
-from gristmill.operators import kneser_ney, pii, script, word_units
+from gristmill.functions import batches, patterns, shingles, subwords, tries
+from gristmill.operators import kneser_ney, langid, pii, script, simhash, word_units
 from gristmill.sources import wordlists
 
 
@@ -161,7 +164,7 @@ def test_mapping_takes_the_longest_match_at_each_place():
             at += size or 1
         mapping = script.Mapping({"": "none", **pairs})
         assert mapping.convert(text) == "".join(out) and mapping.convert("") == ""
-    assert script._converted(mapping, pa.array([None, text], pa.string())).to_pylist() == [None, "".join(out)]
+    assert script.converted(mapping, pa.array([None, text], pa.string())).to_pylist() == [None, "".join(out)]
 
 
 def test_a_trie_names_every_string_at_every_place():
@@ -171,3 +174,42 @@ def test_a_trie_names_every_string_at_every_place():
     found = sorted((p, k, n) for k, place, number in tries.Trie(strings).walk(tries.points_of(text)) for p, n in zip(place.tolist(), number.tolist()))
     assert found == sorted((p, len(x), n) for n, x in enumerate(strings) for p in range(len(text)) if text.startswith(x, p))
     assert list(tries.Trie([]).walk(tries.points_of(text))) == []
+
+
+def test_hashes_modulo_the_prime():
+    draw = np.random.default_rng(3)
+    prime = shingles.MERSENNE_PRIME
+    edges = [0, 1, prime - 1, prime, prime + 1, 2 * prime, 8 * prime, (1 << 64) - 1, 7 * prime - 1]
+    numbers = np.r_[np.array(edges, np.uint64), draw.integers(0, 1 << 64, 1000, np.uint64, False)]
+    assert shingles._modulo(numbers).tolist() == [x % prime for x in numbers.tolist()]
+
+
+def test_bits_are_counted_in_the_row_and_rows_of_one_id_are_added(spark):
+    texts = [(1, "a b c d"), (1, "e"), (2, "x y"), (3, "é, 中文 b-c"), (None, "a b"), (4, None), (5, " ,"), (6, "one two three four five six " * 900)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    wanted: dict[int, list[int]] = {}
+    for key, text in texts:
+        if key in (None, 4, 5):
+            continue
+        words = re.split("[^A-Za-z0-9_]", text)
+        for gram in [" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))]:
+            wanted.setdefault(key, []).append(int.from_bytes(hashlib.sha1(gram.encode()).digest()[:8], "big"))
+    found = {r.doc_id: r.signature & (1 << 64) - 1 for r in simhash.simhash_signatures(docs).collect()}
+    assert found == {key: sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) for key, hashes in wanted.items()}
+    plan = simhash.simhash_signatures(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_python_steps_take_parts_of_a_batch(spark, monkeypatch):
+    monkeypatch.setattr(langid, "NAMED", 3)
+    monkeypatch.setattr(langid, "FLUSH", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", None, "en"]), pa.array(["abcdefgh", "", "abcxyz" * 9])], ["lang", "text"])
+    found = Counter()
+    for part in langid._count_batches([batch, batch]):
+        assert part.num_rows <= 3
+        for language, gram, times in zip(*(c.to_pylist() for c in part.columns)):
+            found[language, gram] += times
+    texts = ["abcdefgh", "abcxyz" * 9] * 2
+    assert found == Counter(("en", t[i:i + 3]) for t in texts for i in range(len(t) - 2))
+    pairs = spark.createDataFrame([("a" * 9, None), ("abcdefghij", "abcdefghix"), (None, None)], "a string, b string")
+    assert [r[0] for r in pairs.select(shingles.character_jaccard("a", "b")).collect()] == [0.0, 0.5, 1.0]
