@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gristmill.functions import batches, patterns, shingles, subwords, tries
-from gristmill.operators import kneser_ney, langid, pii, script, simhash, word_units
+from gristmill.operators import filters, kneser_ney, langid, pii, script, simhash, word_units
 from gristmill.sources import wordlists
 
 
@@ -213,3 +213,14 @@ def test_python_steps_take_parts_of_a_batch(spark, monkeypatch):
     assert found == Counter(("en", t[i:i + 3]) for t in texts for i in range(len(t) - 2))
     pairs = spark.createDataFrame([("a" * 9, None), ("abcdefghij", "abcdefghix"), (None, None)], "a string, b string")
     assert [r[0] for r in pairs.select(shingles.character_jaccard("a", "b")).collect()] == [0.0, 0.5, 1.0]
+
+
+def test_texts_are_redacted_once_in_a_chain(spark):
+    docs = spark.createDataFrame([(1, "mail a.b@example.org now " * 9), (2, None), (3, ""), (4, "plain words, more of them " * 9)], "doc_id bigint, text string")
+    chain = filters.rule_filter(filters.sensitive_filter(pii.run_pii(docs), ["password"]))
+    plan = chain._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_key_hits") <= 2 and plan.count("aggregate(array_distinct") == 1
+    assert [r.doc_id for r in chain.orderBy("doc_id").collect()] == [1, 4]
+    assert {r.doc_id: r.text for r in pii.run_pii(docs).collect()} == {
+        1: "mail PI:EMAIL now " * 9, 2: None, 3: "", 4: "plain words, more of them " * 9}
+    assert pii.run_pii(docs, audit=True).columns == ["doc_id", "text", "regex_metadata", "old_text", "modified"]
