@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gristmill.functions import batches, patterns, shingles, subwords, tries
+from gristmill.functions import text as tx
 from gristmill.operators import filters, kneser_ney, langid, pii, script, simhash, word_units
 from gristmill.sources import wordlists
 
@@ -224,3 +226,21 @@ def test_texts_are_redacted_once_in_a_chain(spark):
     assert {r.doc_id: r.text for r in pii.run_pii(docs).collect()} == {
         1: "mail PI:EMAIL now " * 9, 2: None, 3: "", 4: "plain words, more of them " * 9}
     assert pii.run_pii(docs, audit=True).columns == ["doc_id", "text", "regex_metadata", "old_text", "modified"]
+
+
+def test_faster_patterns_match_the_same(spark):
+    draw = random.Random(19)
+    pieces = ["\r", "\n", "\r\n", "\x85", " ", " ", "\x00", "\x0b", "\x0c", "\t", "\x1f", "\x7f", "a", "é", "Ａ", "　", "‘", "„", "‟", "ﬁ", "𠀀", "\u206a", "\ufeff", "\ufffb", "ĳ", "\u0301", "\u1fff", "\U0002f800", "\u2126", "e",
+              "fe80:", ":", "::", "1.2", ".", "f:0", "0"]
+    plain = [[p for p in pieces if p.isascii()], pieces]
+    texts = ["".join(draw.choice(plain[k % 2]) for _ in range(draw.randrange(1, 7))) for k in range(4000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    needed = {"IP_ADDRESS": r"[0-9]\.[0-9]|::|[0-9a-fA-F]:[0-9a-fA-F]|fe80:", "IPv6": r"::|[0-9a-fA-F]:[0-9a-fA-F]|fe80:"}
+    for tag, pattern in needed.items():
+        assert docs.filter(F.col("text").rlike(pattern) != F.col("text").rlike(pii._NEEDED[tag])).count() == 0
+    fixed = {r.text: r.fixed for r in docs.select("text", tx.fix_text("text").alias("fixed")).collect()}
+    marks = str.maketrans({**{chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}, "　": " ", **dict.fromkeys("‘’‚‛", "'"), **dict.fromkeys("“”„‟", '"'), "ﬁ": "fi", "ĳ": "ij"})
+    for text in texts:
+        ends = "\r\n|\r" if text.isascii() else "\r\n|[\r\x85  ]"
+        cleaned = re.sub("[\x00-\x08\x0b\x0e-\x1f\x7f\u206a-\u206f\ufeff\ufff9-\ufffb]", "", re.sub(ends, "\n", text).translate(marks))
+        assert fixed[text] == unicodedata.normalize("NFC", cleaned)
