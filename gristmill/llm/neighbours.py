@@ -5,36 +5,44 @@
    nodes of a leaf are compared with each other. A leaf that is still too large is cut
    further along directions of its tree, at the medians of all its nodes.
 3. NN-descent: in each round every node brings its neighbours and a sample of the nodes
-   that have it as a neighbour together; those are compared with each other, and each
-   keeps its best. A neighbour of a neighbour is so found by joins. Rounds go on until
-   few neighbours change.
-4. A query walks the graph greedily: its pool of best nodes is expanded a few at a time,
-   by joining them to their neighbours, until all of the pool have been expanded.
+   that have it as a neighbour together; those are compared with each other, unless they
+   were in the round before, and each keeps its best. Rounds go on until few neighbours
+   change.
+4. A query walks the graph greedily: its pool of best nodes is expanded a few at a time
+   until all of the pool have been expanded.
+
+Nodes are dealt to blocks by a hash of their id. A round and a step of the search are
+messages between blocks, arrays for many nodes in one row, so that Spark moves few rows
+and the work inside a block is done by whole arrays.
 
 Vectors travel as packed bytes; scores of results are in double precision.
 """
 
 from __future__ import annotations
 
+import functools
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.blocks import hash_below
+from gristmill.llm.blocks import hash_below, mix, utf8
 from gristmill.operators.skew import join_groups
 from gristmill.staging import stage
 
 #: Neighbours of a node in the graph; at most so many of the nodes that point to it take part.
 NEIGHBOURS, REVERSE = 48, 24
-#: Best nodes that a member takes from one comparison, in a leaf and in a round.
-LEAF_KEPT, KEPT = 20, 16
+#: Best nodes that a member takes from one leaf; from a round it takes all that are better than what it has.
+LEAF_KEPT = 20
 #: Trees, vectors they are fitted on, and nodes in a leaf at most.
 TREES, TREE_SAMPLE, LEAF = 10, 20_000, 1000
 #: NN-descent ends when fewer than this share of neighbours change.
 SETTLED = 0.02
+#: Bytes that a block compares in a round and that a task reads, about.
+TASK_BYTES = 32 << 20
 #: Nodes in the pool of a query at least (four times the results asked for, if more), and how many are expanded in a step.
 POOL, EXPANDED = 80, 16
 
@@ -47,15 +55,17 @@ class _Pack:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, packed = [], []
-            for name, vector in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if name is None or not vector.is_valid or not len(vector) or vector.values.null_count:
-                    continue
-                x = vector.values.to_numpy(zero_copy_only=False).astype(self.kind)
-                if np.isfinite(x).all() and x.any():
-                    ids.append(name)
-                    packed.append((x + 0).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["vec_id", "_vec"])
+            lists, ends = batch.column(1), batch.column(1).offsets.to_numpy().astype(np.int64)
+            given = lists.values.is_valid().to_numpy(zero_copy_only=False)
+            x = lists.values.fill_null(0).to_numpy(zero_copy_only=False).astype(self.kind) + 0
+            counted = lambda wanted: np.diff(np.concatenate([[0], np.cumsum(wanted)])[ends])
+            usable = (counted(~given | ~np.isfinite(x)) == 0) & (counted(x != 0) > 0)
+            usable &= batch.column(0).is_valid().to_numpy(zero_copy_only=False) & lists.is_valid().to_numpy(zero_copy_only=False)
+            offsets = pa.py_buffer((ends * x.itemsize).astype(np.int64).tobytes())
+            wide = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, offsets, pa.py_buffer(x)])
+            some = pa.array(usable)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).filter(some).cast(pa.int64()), wide.filter(some).cast(pa.binary())], ["vec_id", "_vec"])
 
 
 def _matrix(vectors: list[bytes], kind: str) -> np.ndarray:
@@ -98,7 +108,7 @@ class _Leaves:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            leaves = self.trees.leaves(_matrix(batch.column(1).to_pylist(), self.kind))
+            leaves = self.trees.leaves(_packed(batch.column(1), self.kind))
             for leaf in leaves:
                 yield pa.RecordBatch.from_arrays([pa.array(leaf), batch.column(0), batch.column(1)], ["_group", "_node", "_vec"])
 
@@ -113,7 +123,7 @@ class _Project:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(2).to_pylist(), self.kind)
+            x = _packed(batch.column(2), self.kind)
             tree = batch.column(0).to_numpy() >> 40
             value = np.empty(len(x))
             for t in np.unique(tree):
@@ -149,97 +159,323 @@ def _split(leaves: DataFrame, nodes: DataFrame, depth: int, kind: str) -> DataFr
         level += 1
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores, ties to the smaller id."""
-    if len(scores) > 4 * k:
-        some = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
-    else:
-        some = np.arange(len(scores))
-    return some[np.lexsort((ids[some], -scores[some]))[:k]]
+def _packed(column: pa.Array, kind: str) -> np.ndarray:
+    """A column of packed vectors of one length as the rows of a matrix."""
+    data, _ = utf8(column)
+    return data.view(kind).reshape(len(column), -1)
+
+
+def _block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
+    """The block that holds a node: a function of its id alone."""
+    return (mix(ids.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+
+
+class Layout:
+    """The nodes in ``blocks``, the kind of their vectors, and tasks for a round and for a step of the search.
+
+    What a block compares in a round takes 32 MB at most, as does what a task of a step reads.
+    """
+
+    def __init__(self, spark: SparkSession, n: int, vector_bytes: int, kind: str):
+        compared = (1 + NEIGHBOURS + REVERSE) * max(1, vector_bytes)
+        self.blocks = max(1, -(-n // min(1024, max(16, TASK_BYTES // compared), max(256, n // 64))))
+        self.kind = kind
+        least = 2 * spark.sparkContext.defaultParallelism
+        self.round = max(least, n * compared // TASK_BYTES)
+        self.search = max(least, n * (vector_bytes + 16 * NEIGHBOURS) // TASK_BYTES)
+
+
+#: What travels between blocks: kind 0 is the block's own state, others are messages to it. With
+#: its state a block tells how much is left to do, and of how much.
+_MESSAGE = "_block long, _kind int, _data binary, _left long, _total long"
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*((*r, 0, 0)[:5] for r in rows))) or [()] * 5
+    columns[2] = [pickle.dumps(d, 5) for d in columns[2]]
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["_block", "_kind", "_data", "_left", "_total"])
+
+
+def _deal(to: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The rows of the columns, which go to block ``to``, block by block."""
+    order = np.argsort(to, kind="stable")
+    to = to[order]
+    starts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.zeros(0, int)
+    for start, end in zip(starts, np.r_[starts[1:], len(to)]):
+        yield int(to[start]), [c[order[start:end]] for c in columns]
+
+
+def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple], list[tuple]]]:
+    """Block by block: its state (none or more parts) and the messages to it."""
+    block, state, messages = None, [], []
+    for batch in batches:
+        data = batch.column(2)
+        for k, (to, kind) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            if to != block:
+                if block is not None:
+                    yield block, state, messages
+                block, state, messages = to, [], []
+            (messages if kind else state).append(pickle.loads(data[k].as_buffer()))
+    if block is not None:
+        yield block, state, messages
+
+
+def _concat(parts: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def _first(*keys: np.ndarray) -> np.ndarray:
+    """Where keys that are sorted together begin to differ from those before."""
+    out = np.ones(len(keys[0]), bool)
+    if len(out):
+        out[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return out
+
+
+def _rank(first: np.ndarray) -> np.ndarray:
+    """Places, from 0, of rows in their group, of which ``first`` tells the beginnings."""
+    at = np.arange(len(first))
+    return at - np.maximum.accumulate(np.where(first, at, 0))
+
+
+class _Step:
+    """One step of all blocks: mapInArrow over rows (block, kind, data) sorted by block and kind."""
+
+    def __init__(self, layout: Layout, **parameters):
+        self.layout, self.blocks, self.kind = layout, layout.blocks, layout.kind
+        self.__dict__.update(parameters)
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, state, messages in _received(batches):
+            rows, size = [], 0
+            for row in self.step(block, state, messages):
+                rows.append(row)
+                size += sum(getattr(a, "nbytes", 0) for a in row[2])
+                if size > 1 << 24:
+                    yield _rows(rows)
+                    rows, size = [], 0
+            yield _rows(rows)
+
+    def step(self, block: int, state: list[tuple], messages: list[tuple]) -> Iterator[tuple]:
+        raise NotImplementedError
+
+
+def _stepped(step: _Step, parts: int, *tables: DataFrame) -> DataFrame:
+    """What a step makes of states and messages, in ``parts`` tasks; a block is in one of them."""
+    rows = functools.reduce(DataFrame.unionByName, [t.select("_block", "_kind", "_data") for t in tables])
+    parts = min(parts, step.blocks)
+    dealt = rows.repartitionById(parts, (F.col("_block") % parts).cast("int"))
+    return dealt.sortWithinPartitions("_block", "_kind").mapInArrow(step, _MESSAGE)
+
+
+def _staged(steps: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+    """The written states of all blocks, what is left to do in them, and of how much."""
+    table = stage(steps, label)
+    left, total = table.agg(F.sum("_left"), F.sum("_total")).first()
+    return table.select("_block", "_kind", "_data"), left or 0, total or 0
+
+
+class _Nodes:
+    """mapInArrow over (node, vector): parts of the states of blocks."""
+
+    def __init__(self, layout: Layout):
+        self.blocks, self.kind = layout.blocks, layout.kind
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ids, x = batch.column(0).to_numpy(), _packed(batch.column(1), self.kind)
+                yield _rows([(to, 0, tuple(part)) for to, part in _deal(_block_of(ids, self.blocks), ids, x)])
 
 
 class _Compare:
-    """mapInArrow over (group, node, vector) by group: each member's best in its group."""
+    """mapInArrow over (group, node, vector) by group: each member's best in its group, sent to its block."""
 
-    def __init__(self, kept: int, kind: str):
-        self.kept, self.kind = kept, kind
+    def __init__(self, kept: int, layout: Layout):
+        self.kept, self.blocks, self.kind = kept, layout.blocks, layout.kind
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for rows in _groups(batches):
-            ids, x = np.array([r[1] for r in rows]), _matrix([r[2] for r in rows], self.kind)
+        for ids, x in self._groups(batches):
             scores = x @ x.T
             np.fill_diagonal(scores, -np.inf)
             kept = min(self.kept, len(ids) - 1)
-            top = np.argpartition(-scores, kept - 1, axis=1)[:, :kept] if kept else np.zeros((len(ids), 0), int)
-            held.append((ids, ids[top], np.take_along_axis(scores, top, axis=1)))
+            if not kept:
+                continue
+            top = np.argpartition(-scores, kept - 1, axis=1)[:, :kept]
+            held.append((np.repeat(ids, kept), ids[top].ravel(), np.take_along_axis(scores, top, axis=1).ravel()))
             size += top.size
-            if size > 200_000:
-                yield _tables(held)
+            if size > 1_000_000:
+                yield self._sent(held)
                 held, size = [], 0
         if held:
-            yield _tables(held)
+            yield self._sent(held)
 
+    def _sent(self, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        node, near, score = (np.concatenate(c) for c in zip(*held))
+        return _rows([(to, 1, tuple(part)) for to, part in _deal(_block_of(node, self.blocks), node, near, score)])
 
-def _tables(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    ends = np.cumsum([0, *np.concatenate([np.full(len(n), t.shape[1]) for n, t, _ in held])]).astype(np.int32)
-    join = lambda k, kind: pa.array(np.concatenate([h[k].ravel() for h in held]).astype(kind))
-    lists_ = [pa.ListArray.from_arrays(pa.array(ends), join(1, np.int64)), pa.ListArray.from_arrays(pa.array(ends), join(2, np.float64))]
-    return pa.RecordBatch.from_arrays([join(0, np.int64), *lists_], ["_node", "_ids", "_scores"])
-
+    def _groups(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        last, ids, x = None, [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            groups, nodes, vectors = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _packed(batch.column(2), self.kind)
+            starts = np.flatnonzero(_first(groups))
+            for start, end in zip(starts, np.r_[starts[1:], len(groups)]):
+                if ids and groups[start] != last:
+                    yield np.concatenate(ids), np.concatenate(x)
+                    ids, x = [], []
+                last = groups[start]
+                # Copies, as the memory of a batch is used again.
+                ids.append(nodes[start:end].copy())
+                x.append(vectors[start:end].copy())
+        if ids:
+            yield np.concatenate(ids), np.concatenate(x)
 
-def _groups(batches: Iterator[pa.RecordBatch], most: int = 1 << 60) -> Iterator[list[tuple]]:
-    """Rows of each group, which are next to each other; ``most`` at a time of a larger one."""
-    rows: list[tuple] = []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if rows and (rows[0][0] != row[0] or len(rows) >= most):
-                yield rows
-                rows = []
-            rows.append(row)
-    if rows:
-        yield rows
 
+# The state of a block: ids (sorted) and vectors of its nodes, the neighbours of each with their scores, best
+# first (-inf where there are none), and who was compared for each in the last round.
 
-def _lists(found: Iterator[tuple[int, list, list]]) -> pa.RecordBatch:
-    columns = list(zip(*found)) or [(), (), ()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.list_(pa.int64())), pa.array(columns[2], pa.list_(pa.float64()))],
-        ["_node", "_ids", "_scores"])
 
+class _Merge(_Step):
+    """The neighbours of each node become the best of those it had and those that were found.
 
-_LISTS = "_node long, _ids array<long>, _scores array<double>"
+    It tells how many neighbours are new, and how many there are.
+    """
 
+    def step(self, block, state, messages):
+        if len(state) == 1 and len(state[0]) > 2:
+            ids, x, near, score, met = state[0]
+        else:
+            ids, x = (np.concatenate(c) for c in zip(*state))
+            order = np.argsort(ids)
+            ids, x, met = ids[order], x[order], None
+            near, score = np.zeros((len(ids), NEIGHBOURS), np.int64), np.full((len(ids), NEIGHBOURS), -np.inf, self.kind)
+        row, place = np.nonzero(score > -np.inf)
+        at = np.concatenate([row, *(np.searchsorted(ids, m[0]) for m in messages)])
+        who = np.concatenate([near[row, place], *(m[1] for m in messages)])
+        value = np.concatenate([score[row, place], *(m[2] for m in messages)])
+        new = np.arange(len(at)) >= len(row)
+        # Of a pair that comes more than once, the place it had counts first.
+        order = np.lexsort((who, at))
+        order = order[_first(at[order], who[order])]
+        at, who, value, new = at[order], who[order], value[order], new[order]
+        order = np.lexsort((who, -value, at))
+        rank = _rank(_first(at[order]))
+        order, rank = order[rank < NEIGHBOURS], rank[rank < NEIGHBOURS]
+        near, score = np.zeros_like(near), np.full_like(score, -np.inf)
+        near[at[order], rank], score[at[order], rank] = who[order], value[order]
+        yield block, 0, (ids, x, near, score, met), int(new[order].sum()), len(order)
+
+
+class _Ask(_Step):
+    """Blocks ask for the nodes that theirs point to, and tell those who points to them.
+
+    A node is told by a block at most ``REVERSE`` of the nodes, those that come first.
+    """
 
-class _Merge:
-    """mapInArrow over (node, ids, scores) by node: the best of all its lists, kept small on the way."""
+    def step(self, block, state, messages):
+        ids, _, near, score, _ = state[0]
+        row, place = np.nonzero(score > -np.inf)
+        to, by = near[row, place], ids[row]
+        order = np.lexsort((by, _order(by, self.turn), to))
+        to, by = to[order], by[order]
+        told = _rank(_first(to)) < REVERSE
+        for other, (t, b) in _deal(_block_of(to[told], self.blocks), to[told], by[told]):
+            yield other, 1, (block, t, b)
+        yield block, 0, state[0]
+
+
+def _order(ids: np.ndarray, turn: int) -> np.ndarray:
+    return mix(ids.view(np.uint64) ^ mix(np.array([turn + 1], np.uint64)))
+
+
+class _Sample(_Step):
+    """Of the nodes that point to a node ``REVERSE`` take part in the round; their blocks are asked for them."""
+
+    def step(self, block, state, messages):
+        to, by = _concat([m[1] for m in messages], np.int64), _concat([m[2] for m in messages], np.int64)
+        order = np.lexsort((by, _order(by, self.turn), to))
+        to, by = to[order], by[order]
+        taken = _rank(_first(to)) < REVERSE
+        to, by = to[taken], by[taken]
+        asked = [(m[0], np.unique(m[1])) for m in messages]
+        for other, (b,) in _deal(_block_of(by, self.blocks), by):
+            yield other, 1, (block, np.unique(b))
+        yield block, 0, (state[0], to, by, asked)
+
+
+class _Answer(_Step):
+    """Blocks get the vectors that they asked for, with the score that a new neighbour of each must reach."""
+
+    def step(self, block, state, messages):
+        own, to, by, asked = state[0]
+        ids, x, _, score, _ = own
+        wanted = {}
+        for other, some in [*asked, *messages]:
+            wanted.setdefault(other, []).append(some)
+        for other, some in wanted.items():
+            if other != block:
+                at = np.searchsorted(ids, np.unique(np.concatenate(some)))
+                yield other, 1, (ids[at], x[at], score[at, -1])
+        yield block, 0, (own, to, by)
+
+
+class _Local(_Step):
+    """The neighbours of a node and those that point to it are compared with each other.
+
+    What can be among the neighbours of a node is sent to it. Two nodes that were both
+    here in the last round have been compared then.
+    """
 
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, last = [], None
-        for rows in _groups(batches, 256):
-            ids = np.concatenate([np.array(r[1], np.int64) for r in rows])
-            scores = np.concatenate([np.array(r[2], np.float64) for r in rows])
-            if last == rows[0][0]:
-                _, before, had = out.pop()
-                ids, scores = np.r_[ids, before], np.r_[scores, had]
-            elif len(out) >= 5000:
-                yield _lists(out)
-                out = []
-            last = rows[0][0]
-            ids, first = np.unique(ids, return_index=True)
-            scores = scores[first]
-            top = _best(scores, ids, NEIGHBOURS)
-            out.append((last, ids[top].tolist(), scores[top].tolist()))
-        if out:
-            yield _lists(out)
-
-
-def _merged(lists_: DataFrame) -> DataFrame:
-    return lists_.repartition("_node").sortWithinPartitions("_node").mapInArrow(_Merge(), _LISTS)
-
-
-def build_graph(nodes: DataFrame, kind: str) -> DataFrame:
-    """``_node, _ids, _scores``: near neighbours of each node (``_node, _vec``, written), best first."""
+    def step(self, block, state, messages):
+        (ids, x, near, score, met), to, by = state[0]
+        known = np.concatenate([ids, *(m[0] for m in messages)])
+        vectors = np.concatenate([x, *(m[1] for m in messages)])
+        least = np.concatenate([score[:, -1], *(m[2] for m in messages)])
+        sorter = np.argsort(known)
+        place = lambda some: sorter[np.minimum(np.searchsorted(known, some, sorter=sorter), len(known) - 1)]
+        own = np.arange(len(ids))[:, None]
+        back = np.repeat(own, REVERSE, axis=1)
+        back[np.searchsorted(ids, to), _rank(_first(to))] = place(by)
+        members = np.concatenate([own, np.where(score > -np.inf, place(near), own), back], axis=1)
+        members.sort(axis=1)
+        valid = np.ones(members.shape, bool)
+        valid[:, 1:] = members[:, 1:] != members[:, :-1]
+        n = len(known)
+        fresh = valid
+        if met is not None:
+            was = place(met)
+            was = (own * n + was)[known[was] == met]
+            fresh = valid & ~np.isin(own * n + members, was)
+        pairs, scores = [], []
+        size = max(1, (1 << 22) // (members.shape[1] * max(members.shape[1], vectors.shape[1])))
+        for start in range(0, len(ids), size):
+            m, v, f = members[start:start + size], valid[start:start + size], fresh[start:start + size]
+            some = vectors[m]
+            value = some @ some.transpose(0, 2, 1)
+            met_now = (v[:, :, None] & f[:, None, :]) | (f[:, :, None] & v[:, None, :])
+            met_now &= value >= least[m][:, :, None]
+            met_now[:, np.arange(m.shape[1]), np.arange(m.shape[1])] = False
+            g, i, j = np.nonzero(met_now)
+            pairs.append(m[g, i] * n + m[g, j])
+            scores.append(value[g, i, j])
+        pairs, first = np.unique(np.concatenate(pairs), return_index=True)
+        at, who, value = pairs // n, pairs % n, np.concatenate(scores)[first]
+        if len(at) and np.bincount(at).max() > NEIGHBOURS:
+            order = np.lexsort((known[who], -value, at))
+            order = order[_rank(_first(at[order])) < NEIGHBOURS]
+            at, who, value = at[order], who[order], value[order]
+        at, who = known[at], known[who]
+        for other, part in _deal(_block_of(at, self.blocks), at, who, value):
+            yield other, 1, tuple(part)
+        yield block, 0, (ids, x, near, score, known[members])
+
+
+def build_graph(nodes: DataFrame, kind: str) -> tuple[DataFrame, Layout]:
+    """States of all blocks: near neighbours of each node (``_node, _vec``, written), best first."""
     n = nodes.count()
     depth = max(0, int(np.ceil(np.log2(max(1, n) / (LEAF * 0.75)))))
     sample = nodes.filter(hash_below(TREE_SAMPLE / max(1, n), F.col("_node"))).select("_node", "_vec").toPandas()
@@ -251,92 +487,175 @@ def build_graph(nodes: DataFrame, kind: str) -> DataFrame:
     trees = _Trees(x, min(depth, max(0, int(np.log2(max(1, len(x)) / 20)))), dims)
     leaves = nodes.select("_node", "_vec").mapInArrow(_Leaves(trees, kind), "_group long, _node long, _vec binary")
     leaves = _split(leaves, nodes, trees.depth, kind)
+    layout = Layout(nodes.sparkSession, n, dims * np.dtype(kind).itemsize, kind)
     dealt = leaves.repartition("_group").sortWithinPartitions("_group")
-    graph = stage(_merged(dealt.mapInArrow(_Compare(LEAF_KEPT, kind), _LISTS)), "graph")
+    found = dealt.mapInArrow(_Compare(LEAF_KEPT, layout), _MESSAGE)
+    states = nodes.select("_node", "_vec").mapInArrow(_Nodes(layout), _MESSAGE)
+    graph, _, _ = _staged(_stepped(_Merge(layout), layout.round, states, found), "graph")
     if n <= LEAF_KEPT + 1:
-        return graph
+        return graph, layout
     # Neighbours only get better, so rounds end; log n of them are enough for most tables.
     for turn in range(2 * int(np.ceil(np.log2(n)))):
-        edges = graph.select("_node", F.explode("_ids").alias("_to"))
-        order = Window.partitionBy("_to").orderBy(F.xxhash64("_node", F.lit(turn)), "_node")
-        back = edges.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= REVERSE)
-        members = edges.select(F.col("_node").alias("_group"), F.col("_to").alias("_node"))
-        members = members.unionByName(back.select(F.col("_to").alias("_group"), "_node")).unionByName(
-            graph.select(F.col("_node").alias("_group"), "_node")).distinct()
-        popular = members.groupBy("_node").agg(F.count("*").alias("_weight")).join(nodes.select("_node", "_vec"), "_node")
-        local = join_groups(members, popular, ["_node"], "_weight", ["_group"])
-        compared = local.select("_group", "_node", "_vec").repartition("_group").sortWithinPartitions("_group").mapInArrow(
-            _Compare(KEPT, kind), _LISTS)
-        new = stage(_merged(compared.unionByName(graph)), "graph")
-        before = graph.select("_node", F.col("_ids").alias("_before"))
-        changed = new.join(before, "_node").agg(F.sum(F.size(F.array_except("_ids", "_before"))), F.sum(F.size("_ids"))).first()
-        graph = new
-        if not changed[1] or changed[0] < SETTLED * changed[1]:
+        steps = graph.mapInArrow(_Ask(layout, turn=turn), _MESSAGE)
+        for step in (_Sample(layout, turn=turn), _Answer(layout), _Local(layout), _Merge(layout)):
+            steps = _stepped(step, layout.round, steps)
+        graph, changed, total = _staged(steps, "graph")
+        if not total or changed < SETTLED * total:
             break
-    return graph
+    return graph, layout
+
+
+# The state of the queries of a block: their nodes (sorted) with vectors; the pool of each, ids with scores, best
+# first (-inf where there are none), and which were expanded; pairs of query and node that have been scored.
+
+
+class _Parts(_Step):
+    """What a search needs of a graph: ``part`` 0 the vectors, 1 the neighbours of the nodes."""
+
+    def step(self, block, state, messages):
+        ids, x, near, score, _ = state[0]
+        yield block, 0, (ids, x) if self.part == 0 else (ids, near, score > -np.inf)
+
+
+class _Begin(_Step):
+    """The first thing a query sees is itself."""
+
+    def step(self, block, state, messages):
+        if not messages:
+            return
+        ids, x = state[0]
+        asked = np.unique(np.concatenate([m[0] for m in messages]))
+        x = x[np.searchsorted(ids, asked)]
+        near, score = np.zeros((len(asked), self.pool), np.int64), np.full((len(asked), self.pool), -np.inf)
+        done = np.ones((len(asked), self.pool), bool)
+        near[:, 0], score[:, 0], done[:, 0] = asked, (x.astype(np.float64) ** 2).sum(axis=1), False
+        yield block, 0, (asked, x, near, score, done, np.arange(len(asked)), asked), len(asked), len(asked)
+
+
+def _open(done: np.ndarray) -> np.ndarray:
+    """Those of each pool that are expanded next: the best that were not."""
+    return ~done & (np.cumsum(~done, axis=1) <= EXPANDED)
+
+
+class _Expand(_Step):
+    """Nodes of the pools are asked for their neighbours."""
+
+    def step(self, block, state, messages):
+        asked, _, near, _, done, _, _ = state[0]
+        row, place = np.nonzero(_open(done))
+        node = near[row, place]
+        for other, part in _deal(_block_of(node, self.blocks), asked[row], node):
+            yield other, 1, tuple(part)
+
+
+class _Adjacent(_Step):
+    def step(self, block, state, messages):
+        if not messages:
+            return
+        ids, near, valid = state[0]
+        query, node = (np.concatenate(c) for c in zip(*messages))
+        at = np.searchsorted(ids, node)
+        row, place = np.nonzero(valid[at])
+        for other, part in _deal(_block_of(query[row], self.blocks), query[row], near[at[row], place]):
+            yield other, 1, tuple(part)
+
+
+class _Want(_Step):
+    """Scores are asked for of the neighbours that a query has not met."""
+
+    def step(self, block, state, messages):
+        if not messages:
+            return
+        asked, x, _, _, _, row, node = state[0]
+        query, found = (np.concatenate(c) for c in zip(*messages))
+        at = np.r_[row, np.searchsorted(asked, query)]
+        who = np.r_[node, found]
+        order = np.lexsort((who, at))
+        order = order[_first(at[order], who[order])]
+        order = order[order >= len(row)]
+        at, who = at[order], who[order]
+        for other, (a, w) in _deal(_block_of(who, self.blocks), at, who):
+            some, which = np.unique(a, return_inverse=True)
+            yield other, 1, (asked[some], x[some], which.astype(np.int32), w)
+
+
+class _Score(_Step):
+    def step(self, block, state, messages):
+        ids, x = state[0] if messages else ((), ())
+        queries, nodes, values = [], [], []
+        for asked, vectors, which, node in messages:
+            vectors, at = vectors.astype(np.float64), np.searchsorted(ids, node)
+            for start in range(0, len(at), 4096):
+                some = slice(start, start + 4096)
+                values.append((x[at[some]].astype(np.float64) * vectors[which[some]]).sum(axis=1))
+            queries.append(asked[which])
+            nodes.append(node)
+        query, node, value = _concat(queries, np.int64), _concat(nodes, np.int64), _concat(values, np.float64)
+        for other, part in _deal(_block_of(query, self.blocks), query, node, value):
+            yield other, 1, tuple(part)
+
+
+class _Pool(_Step):
+    """The pools keep their best; those asked for in this step have been expanded. It tells how many are open."""
+
+    def step(self, block, state, messages):
+        asked, x, near, score, done, row, node = state[0]
+        done = done | _open(done)
+        if messages:
+            query, found, value = (np.concatenate(c) for c in zip(*messages))
+            query = np.searchsorted(asked, query)
+            row, node = np.r_[row, query], np.r_[node, found]
+            had = np.nonzero(score > -np.inf)
+            at, who, value = np.r_[had[0], query], np.r_[near[had], found], np.r_[score[had], value]
+            new = np.r_[done[had], np.zeros(len(query), bool)]
+            order = np.lexsort((who, -value, at))
+            rank = _rank(_first(at[order]))
+            order, rank = order[rank < self.pool], rank[rank < self.pool]
+            near, score, done = np.zeros_like(near), np.full_like(score, -np.inf), np.ones_like(done)
+            near[at[order], rank], score[at[order], rank], done[at[order], rank] = who[order], value[order], new[order]
+        yield block, 0, (asked, x, near, score, done, row, node), int((~done).sum()), len(asked)
+
+
+class _Found:
+    """mapInArrow over the states of queries: ``_query, _ids, _scores``."""
 
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, state, _ in _received(batches):
+            asked, _, near, score, _, _, _ = state[0]
+            valid = score > -np.inf
+            ends = pa.array(np.r_[0, np.cumsum(valid.sum(axis=1))].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(asked), pa.ListArray.from_arrays(ends, pa.array(near[valid])), pa.ListArray.from_arrays(ends, pa.array(score[valid]))],
+                ["_query", "_ids", "_scores"])
 
-class _Step:
-    """mapInArrow over rows of a query: its state (kind 0) first, then scored candidates.
-
-    A state is the query's vector, its pool of ids with scores, and which were expanded.
-    """
 
-    schema = "_query long, _vec binary, _ids array<long>, _scores array<double>, _done array<boolean>"
+class _Queries:
+    """mapInArrow over queries: their blocks get them."""
 
-    def __init__(self, kind: str, pool: int):
-        self.kind, self.pool = kind, pool
+    def __init__(self, layout: Layout):
+        self.blocks = layout.blocks
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
-        for rows in _groups(batches):
-            query, _, own, ids, scores, done, _, _ = rows[0]
-            known = set(ids)
-            new = [(r[6], r[7]) for r in rows[1:] if r[6] not in known]
-            ids, scores, done = np.array(ids, np.int64), np.array(scores, float), np.array(done, bool)
-            # Those asked for in this step are the best that were open.
-            done[np.flatnonzero(~done)[:EXPANDED]] = True
-            if new:
-                x = _matrix([v for _, v in new], self.kind).astype(np.float64)
-                value = (x * np.frombuffer(own, self.kind).astype(np.float64)).sum(axis=1)
-                ids = np.r_[ids, np.array([i for i, _ in new], np.int64)]
-                scores, done = np.r_[scores, value], np.r_[done, np.zeros(len(new), bool)]
-            top = _best(scores, ids, self.pool)
-            out.append((query, own, ids[top].tolist(), scores[top].tolist(), done[top].tolist()))
-        kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 5, kinds)],
-            ["_query", "_vec", "_ids", "_scores", "_done"])
-
-
-def search_graph(queries: DataFrame, graph: DataFrame, nodes: DataFrame, kind: str, pool: int = POOL) -> DataFrame:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            yield _rows([(to, 1, tuple(part)) for to, part in _deal(_block_of(ids, self.blocks), ids)])
+
+
+def search_graph(queries: DataFrame, graph: DataFrame, layout: Layout, pool: int = POOL) -> DataFrame:
     """``_query, _ids, _scores``: best nodes of each query node, itself included, by greedy search.
 
     It ends when every node of every pool has been expanded; a node is expanded once by a
     query at most, so it does end.
     """
-    start = queries.join(nodes.select(F.col("_node").alias("_query"), "_vec"), "_query")
-    # The first thing a query sees is itself.
-    empty = start.select(
-        "_query", "_vec", F.array().cast("array<long>").alias("_ids"), F.array().cast("array<double>").alias("_scores"),
-        F.array().cast("array<boolean>").alias("_done"))
-    step = lambda state, found: state.select(
-        "_query", F.lit(0).alias("_kind"), "_vec", "_ids", "_scores", "_done",
-        F.lit(None).cast("long").alias("_cand"), F.lit(None).cast("binary").alias("_cvec"),
-    ).unionByName(found.join(nodes.select(F.col("_node").alias("_cand"), F.col("_vec").alias("_cvec")), "_cand").select(
-        "_query", F.lit(1).alias("_kind"), F.lit(None).cast("binary").alias("_vec"),
-        F.lit(None).cast("array<long>").alias("_ids"), F.lit(None).cast("array<double>").alias("_scores"),
-        F.lit(None).cast("array<boolean>").alias("_done"), "_cand", "_cvec"),
-    ).repartition("_query").sortWithinPartitions("_query", "_kind").mapInArrow(_Step(kind, pool), _Step.schema)
-    state = stage(step(empty, queries.select("_query", F.col("_query").alias("_cand"))), "pool")
-    while True:
-        open_ = F.filter(F.transform(F.arrays_zip("_ids", "_done"), lambda p: F.when(~p["_done"], p["_ids"])), lambda i: i.isNotNull())
-        frontier = state.select("_query", F.explode(F.slice(open_, 1, EXPANDED)).alias("_node"))
-        met = frontier.join(graph.select("_node", "_ids"), "_node").select("_query", F.explode("_ids").alias("_cand")).distinct()
-        state = stage(step(state, met), "pool")
-        if state.filter(F.exists("_done", lambda d: ~d)).isEmpty():
-            break
-    return state.select("_query", "_ids", "_scores")
+    vectors, links = (stage(graph.mapInArrow(_Parts(layout, part=k), _MESSAGE), "parts") for k in (0, 1))
+    asked = queries.select("_query").mapInArrow(_Queries(layout), _MESSAGE)
+    state, left, _ = _staged(_stepped(_Begin(layout, pool=pool), layout.search, vectors, asked), "pool")
+    while left:
+        near = _stepped(_Adjacent(layout), layout.search, links, state.mapInArrow(_Expand(layout), _MESSAGE))
+        wanted = _stepped(_Want(layout), layout.search, state, near)
+        scored = _stepped(_Score(layout), layout.search, vectors, wanted)
+        state, left, _ = _staged(_stepped(_Pool(layout, pool=pool), layout.search, state, scored), "pool")
+    return state.mapInArrow(_Found(), "_query long, _ids array<long>, _scores array<double>")
 
 
 def nearest(
@@ -371,8 +690,8 @@ def nearest(
     asked = stage(join_groups(asked, nodes, ["_vec"], "_weight", ["vec_id"]).select(
         F.col("vec_id").alias("query_id"), F.col("_node").alias("_query")), "asked")
     nodes = nodes.drop("_weight")
-    graph = build_graph(nodes, kind)
-    found = search_graph(asked.select("_query").distinct(), graph, nodes, kind, max(POOL, 4 * (k + 1)))
+    graph, layout = build_graph(nodes, kind)
+    found = search_graph(asked.select("_query").distinct(), graph, layout, max(POOL, 4 * (k + 1)))
     best = found.select("_query", F.posexplode(F.arrays_zip("_ids", "_scores")).alias("_place", "_p")).filter(F.col("_place") <= k)
     ids = best.select("_query", F.col("_p._ids").alias("_node"), F.col("_p._scores").alias("score")).join(members, "_node")
     # k + 1 ids are enough for every query of a node, as each leaves out only its own.
