@@ -20,8 +20,6 @@ Vectors travel as packed bytes; scores of results are in double precision.
 
 from __future__ import annotations
 
-import functools
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gristmill.functions.messages import MESSAGE as _MESSAGE
+from gristmill.functions.messages import Step, dealt
+from gristmill.functions.messages import deal as _deal
+from gristmill.functions.messages import first as _first
+from gristmill.functions.messages import received as _received
+from gristmill.functions.messages import rows as _rows
 from gristmill.llm.blocks import hash_below, mix, utf8
 from gristmill.operators.skew import join_groups
 from gristmill.staging import stage
@@ -185,88 +189,27 @@ class Layout:
         self.search = max(least, n * (vector_bytes + 16 * NEIGHBOURS) // TASK_BYTES)
 
 
-#: What travels between blocks: kind 0 is the block's own state, others are messages to it. With
-#: its state a block tells how much is left to do, and of how much.
-_MESSAGE = "_block long, _kind int, _data binary, _left long, _total long"
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*((*r, 0, 0)[:5] for r in rows))) or [()] * 5
-    columns[2] = [pickle.dumps(d, 5) for d in columns[2]]
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["_block", "_kind", "_data", "_left", "_total"])
-
-
-def _deal(to: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """The rows of the columns, which go to block ``to``, block by block."""
-    order = np.argsort(to, kind="stable")
-    to = to[order]
-    starts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.zeros(0, int)
-    for start, end in zip(starts, np.r_[starts[1:], len(to)]):
-        yield int(to[start]), [c[order[start:end]] for c in columns]
-
-
-def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple], list[tuple]]]:
-    """Block by block: its state (none or more parts) and the messages to it."""
-    block, state, messages = None, [], []
-    for batch in batches:
-        data = batch.column(2)
-        for k, (to, kind) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            if to != block:
-                if block is not None:
-                    yield block, state, messages
-                block, state, messages = to, [], []
-            (messages if kind else state).append(pickle.loads(data[k].as_buffer()))
-    if block is not None:
-        yield block, state, messages
-
-
 def _concat(parts: list[np.ndarray], kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-def _first(*keys: np.ndarray) -> np.ndarray:
-    """Where keys that are sorted together begin to differ from those before."""
-    out = np.ones(len(keys[0]), bool)
-    if len(out):
-        out[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    return out
-
-
 def _rank(first: np.ndarray) -> np.ndarray:
     """Places, from 0, of rows in their group, of which ``first`` tells the beginnings."""
     at = np.arange(len(first))
     return at - np.maximum.accumulate(np.where(first, at, 0))
 
 
-class _Step:
-    """One step of all blocks: mapInArrow over rows (block, kind, data) sorted by block and kind."""
+class _Step(Step):
+    """One step of all blocks of a layout."""
 
     def __init__(self, layout: Layout, **parameters):
         self.layout, self.blocks, self.kind = layout, layout.blocks, layout.kind
         self.__dict__.update(parameters)
 
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, state, messages in _received(batches):
-            rows, size = [], 0
-            for row in self.step(block, state, messages):
-                rows.append(row)
-                size += sum(getattr(a, "nbytes", 0) for a in row[2])
-                if size > 1 << 24:
-                    yield _rows(rows)
-                    rows, size = [], 0
-            yield _rows(rows)
-
-    def step(self, block: int, state: list[tuple], messages: list[tuple]) -> Iterator[tuple]:
-        raise NotImplementedError
-
 
 def _stepped(step: _Step, parts: int, *tables: DataFrame) -> DataFrame:
     """What a step makes of states and messages, in ``parts`` tasks; a block is in one of them."""
-    rows = functools.reduce(DataFrame.unionByName, [t.select("_block", "_kind", "_data") for t in tables])
-    parts = min(parts, step.blocks)
-    dealt = rows.repartitionById(parts, (F.col("_block") % parts).cast("int"))
-    return dealt.sortWithinPartitions("_block", "_kind").mapInArrow(step, _MESSAGE)
+    return dealt(min(parts, step.blocks), *tables).mapInArrow(step, _MESSAGE)
 
 
 def _staged(steps: DataFrame, label: str) -> tuple[DataFrame, int, int]:
